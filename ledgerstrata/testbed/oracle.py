@@ -19,7 +19,8 @@ def _in(values) -> str:
 
 
 def rnd(x: str, digits: int) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(28,8)), {digits}) AS DOUBLE)"
+    """Round the shortest decimal text of a double, half up, as Spark does."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,16)), {digits}) AS DOUBLE)"
 
 
 def div(a: str, b: str) -> str:
