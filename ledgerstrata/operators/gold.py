@@ -19,24 +19,40 @@ def _one_row_per_company(companies: DataFrame) -> DataFrame:
 
 
 def _recency() -> Column:
-    return F.struct("filing_date", "end_date", "accession_number")
+    """Filing date, then period end, in one number: the later pair is the larger.
+
+    Facts hold one row per (company, concept, period end, fiscal year, period),
+    so within a company, concept and period no two rows share this number. A
+    plain number lets the aggregation stay in the generated hash path, which a
+    struct key would leave. A missing date ranks lowest.
+    """
+    lowest = F.lit(-(1 << 31)).cast("long")
+
+    def days(name: str) -> Column:
+        return F.coalesce(F.unix_date(name).cast("long"), lowest)
+
+    return days("filing_date") * F.lit(1 << 32) + days("end_date")
 
 
 def latest_facts(facts: DataFrame, companies: DataFrame, unit: str = "USD") -> DataFrame:
     """Last filed value per (company, concept, fiscal year, period) with company columns.
 
-    Ties on the filing date go to the later period end, then accession. The
-    facts are reduced before they meet the companies.
+    Ties on the filing date go to the later period end. The facts are reduced
+    before they meet the companies. The statement type follows from the concept.
     """
     latest = (
         facts.where(F.col("unit") == unit)
-        .groupBy("cik", "concept", "fiscal_year", "fiscal_period")
-        .agg(
-            F.max_by(F.struct("value", "unit", "statement_type"), _recency()).alias("fact"),
-        )
+        .groupBy("cik", "concept", "statement_type", "fiscal_year", "fiscal_period")
+        .agg(F.max_by("value", _recency()).alias("value"))
     )
     return latest.join(_one_row_per_company(companies), "cik").select(
-        *COMPANY_KEYS, "fiscal_year", "fiscal_period", "concept", "fact.*"
+        *COMPANY_KEYS,
+        "fiscal_year",
+        "fiscal_period",
+        "concept",
+        "value",
+        F.lit(unit).alias("unit"),
+        "statement_type",
     )
 
 
@@ -52,8 +68,8 @@ def company_metrics(facts: DataFrame, companies: DataFrame, unit: str = "USD") -
     """
 
     def latest(concept: str) -> Column:
-        hit = F.col("concept") == concept
-        return F.max_by(F.when(hit, F.col("value")), F.when(hit, _recency()))
+        # Rows of other concepts have no recency and are passed over.
+        return F.max_by("value", F.when(F.col("concept") == concept, F.col("recency")))
 
     def metric(concepts: tuple[str, ...]) -> Column:
         values = [latest(c) for c in concepts]
@@ -61,6 +77,7 @@ def company_metrics(facts: DataFrame, companies: DataFrame, unit: str = "USD") -
 
     wide = (
         facts.where(F.col("unit") == unit)
+        .withColumn("recency", _recency())
         .groupBy("cik", "fiscal_year", "fiscal_period")
         .agg(*[metric(concepts).alias(name) for name, concepts in METRIC_CONCEPTS.items()])
     )

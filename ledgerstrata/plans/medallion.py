@@ -10,8 +10,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from ledgerstrata.operators import bronze, dimensions, facts, gold
-from ledgerstrata.sinks.tables import refresh_view, save
+from ledgerstrata.operators import bronze, dimensions, facts, gold, quality
+from ledgerstrata.sinks.tables import refresh_view, save, touched_years
 from ledgerstrata.sources.tables import read_table
 
 # Ratios and the time series read the metrics, peers read the ratios.
@@ -72,3 +72,33 @@ def build_gold(
         refresh_view(spark, gold_frame(spark, root, name), root, name, years=years)
         for name in GOLD_ORDER
     ]
+
+
+def refresh_touched(spark: SparkSession, root: str, new_facts: DataFrame) -> list[DataFrame]:
+    """Refresh only the fiscal years that a batch of facts changes.
+
+    The years are collected; the year check bounds their number.
+    """
+    years = [row.fiscal_year for row in touched_years(new_facts).collect()]
+    return build_gold(spark, root, years=years) if years else []
+
+
+def run(
+    spark: SparkSession,
+    documents: DataFrame,
+    root: str,
+    *,
+    submission_info: DataFrame | None = None,
+    sic_map: DataFrame | None = None,
+    checks: dict | None = None,
+) -> list[DataFrame]:
+    """The whole batch: bronze, silver, checks (which stop the run), gold."""
+    build_bronze(spark, documents, root)
+    build_dimensions(spark, root, submission_info=submission_info, sic_map=sic_map)
+    build_facts(spark, root)
+    suite = quality.warehouse_checks() if checks is None else checks
+    if suite:
+        quality.require(
+            quality.run_suite({name: read_table(spark, root, name) for name in suite}, suite)
+        )
+    return build_gold(spark, root)

@@ -181,7 +181,11 @@ def reported_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
             for name, unit, value in _concepts()
         ]
     )
-    long = base.select("*", F.inline(cells)).where(F.col("value").isNotNull())
+    # Each period row becomes some 25 rows. A fixed number of partitions keeps
+    # adaptive coalescing from judging by the small input.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = base.repartition(tasks, "s_suppkey", "fiscal_year", "fiscal_period")
+    long = spread.select("*", F.inline(cells)).where(F.col("value").isNotNull())
 
     concept, key = F.col("concept"), F.col("s_suppkey")
 
