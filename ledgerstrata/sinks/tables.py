@@ -118,8 +118,10 @@ def table_sizes(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """
 
     def one(name: str, path: str) -> DataFrame:
+        # A declared table may be stored without any file; its schema is known.
+        reader = spark.read.schema(TABLES[name][1]) if name in TABLES else spark.read
         files = (
-            spark.read.parquet(path)
+            reader.parquet(path)
             .select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
             .groupBy("file_path")
             .agg(
