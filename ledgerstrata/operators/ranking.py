@@ -1,7 +1,9 @@
 """Exact ranks and quantiles inside groups of any size.
 
-A window ordered over a whole group sorts that group in one task. Here a group
-is first cut into value ranges:
+A window ordered over a whole group sorts that group in one task. That is the
+fastest way while groups are small, so the largest group is counted first (one
+aggregation, one number to the driver) and windows are used up to
+``WINDOW_ROWS`` rows. Beyond that a group is cut into value ranges:
 
 1. a few rows per group, chosen by a hash of their key, give cut values;
 2. every row gets a slot: *between* two cuts, or *on* a cut. All rows on a cut
@@ -24,10 +26,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+WINDOW_ROWS = 1_000_000
 CUTS = 64
 SALTS = 64
 
 
+def largest_group(df: DataFrame, group: Sequence[str]) -> int:
+    """Rows of the largest group."""
+    sizes = df.groupBy(*group).agg(F.count("*").alias("n"))
+    return sizes.agg(F.max("n")).first()[0] or 0
+
+
 def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
 
@@ -105,15 +114,27 @@ def percent_ranks(
     group: Sequence[str],
     key: Sequence[str],
     metrics: dict[str, str],
+    window_rows: int = WINDOW_ROWS,
     cuts: int = CUTS,
 ) -> DataFrame:
-    """``PERCENT_RANK() * 100`` of several metrics within the same groups.
+    """``PERCENT_RANK() * 100`` of several metrics within the same groups, NULL lowest.
 
-    ``metrics`` maps an output column to its source column. All metrics share
-    one pass over a long (row, metric, value) form. Returns ``key``, ``group``
-    and the output columns, one row per key.
+    ``metrics`` maps an output column to its source column. Returns ``group``,
+    ``key`` and the output columns, one row per key. In groups beyond
+    ``window_rows`` all metrics share one pass over a long (row, metric, value)
+    form.
     """
     ids = list(dict.fromkeys([*group, *key]))
+    if largest_group(df, group) <= window_rows:
+        whole = Window.partitionBy(*group)
+        return df.select(
+            *ids,
+            *[
+                (F.percent_rank().over(whole.orderBy(F.asc_nulls_first(source))) * 100).alias(out)
+                for out, source in metrics.items()
+            ],
+        )
+
     long = df.select(*ids, *metrics.values()).unpivot(
         ids, list(metrics.values()), "_metric", "_value"
     )
@@ -135,14 +156,24 @@ def group_quantiles(
     value: str,
     key: Sequence[str],
     probabilities: dict[str, float],
+    window_rows: int = WINDOW_ROWS,
     cuts: int = CUTS,
 ) -> DataFrame:
     """Exact interpolated quantiles of the non-NULL values, one row per group.
 
-    The i-th smallest value is the largest one with at most i values below it,
-    so once ``below`` is known every quantile is a plain maximum.
+    Up to ``window_rows`` rows a group's distinct values fit one aggregation
+    buffer. Beyond, values are ranked: the i-th smallest is the largest one with
+    at most i values below it, so once ``below`` is known every quantile is a
+    plain maximum.
     """
-    present = rows_below(df.where(F.col(value).isNotNull()), group, value, key, cuts)
+    present = df.where(F.col(value).isNotNull())
+    if largest_group(present, group) <= window_rows:
+        points = F.array(*[F.lit(float(p)) for p in probabilities.values()])
+        return present.groupBy(*group).agg(F.percentile(value, points).alias("_q")).select(
+            *group, *[F.col("_q")[i].alias(name) for i, name in enumerate(probabilities)]
+        )
+
+    present = rows_below(present, group, value, key, cuts)
     last = F.col("group_rows") - F.lit(1)
     aggregates = []
     for name, p in probabilities.items():

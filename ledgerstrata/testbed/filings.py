@@ -15,10 +15,7 @@ from pyspark.sql import functions as F
 TICKERS = ("AAPL", "MSFT", "GOOGL", "AMZN", "META", "NKE", "HD", "TGT", "WMT", "NVDA")
 YEAR_SHIFT = 23
 
-REPORTED = (
-    "concept string, unit string, value double, fiscal_year int, form string, "
-    "filed_date date, accession_number string"
-)
+REVENUE_CONCEPTS = ("Revenues", "RevenueFromContractWithCustomerExcludingAssessedTax")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -183,69 +180,42 @@ def reported_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # Each period row becomes some 25 rows. A fixed number of partitions keeps
     # adaptive coalescing from judging by the small input.
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = base.repartition(tasks, "s_suppkey", "fiscal_year", "fiscal_period")
+    spread = base.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     long = spread.select("*", F.inline(cells)).where(F.col("value").isNotNull())
 
-    concept, key = F.col("concept"), F.col("s_suppkey")
+    concept, key, copy = F.col("concept"), F.col("s_suppkey"), F.col("copy")
+    amended = (*REVENUE_CONCEPTS, "Assets")
 
-    def row(
-        when: Column | None = None,
-        suffix: str = "",
-        unit: Column = F.col("unit"),
-        value: Column = F.col("value"),
-        fy: Column = year,
-        form: Column = F.col("base_form"),
-        filed: Column = F.col("filed"),
-    ) -> Column:
-        body = F.struct(
-            concept.alias("concept"),
-            unit.alias("unit"),
-            value.cast("double").alias("value"),
-            fy.cast("int").alias("fiscal_year"),
-            form.alias("form"),
-            filed.alias("filed_date"),
-            F.concat(F.col("accn"), F.lit(suffix)).alias("accession_number"),
-        )
-        return body if when is None else F.when(when, body)
-
-    def copies(n: int, *names: str) -> Column:
+    def copied(n: int, *names: str) -> Column:
         return (key % n == 0) & concept.isin(*names)
 
-    variants = F.array(
-        row(),
-        row(
-            copies(5, "Revenues", "RevenueFromContractWithCustomerExcludingAssessedTax", "Assets"),
-            "-A",
-            value=F.col("value") + 1_000_000,
-            filed=F.date_add("filed", 90),
-        ),
-        row(copies(11, "Assets"), "-E", unit=F.lit("EUR")),
-        row(copies(6, "Assets"), "-S", form=F.lit("S-1")),
-        row(copies(9, "Liabilities"), "-N", fy=F.lit(None)),
-        row(copies(10, "Liabilities"), "-Y", fy=F.lit(1800)),
-        row(copies(8, "InterestExpense"), "-V", value=F.lit(None)),
+    # Which copies a row has: the row itself plus the noise that applies to it.
+    suffixes = F.array_compact(
+        F.array(
+            F.lit(""),
+            F.when(copied(5, *amended), "-A"),
+            F.when(copied(11, "Assets"), "-E"),
+            F.when(copied(6, "Assets"), "-S"),
+            F.when(copied(9, "Liabilities"), "-N"),
+            F.when(copied(10, "Liabilities"), "-Y"),
+            F.when(copied(8, "InterestExpense"), "-V"),
+        )
     )
-    reported = F.explode(F.filter(variants, lambda v: v.isNotNull()))
-    return long.select(
+    filed = F.when(copy == "-A", F.date_add("filed", 90)).otherwise(F.col("filed"))
+    return long.withColumn("copy", F.explode(suffixes)).select(
         "cik",
         "company_name",
+        "concept",
+        F.when(copy == "-E", "EUR").otherwise(F.col("unit")).alias("unit"),
         F.date_format("end_date", "yyyy-MM-dd").alias("end_date"),
+        F.when(copy == "-A", F.col("value") + 1_000_000)
+        .when(copy != "-V", F.col("value"))
+        .alias("value"),
+        F.concat("accn", "copy").alias("accession_number"),
+        F.when(copy == "-Y", 1800).when(copy != "-N", year).cast("int").alias("fiscal_year"),
         "fiscal_period",
-        "frame",
-        reported.alias("r"),
-    ).select(
-        "cik",
-        "company_name",
-        "r.concept",
-        "r.unit",
-        "end_date",
-        "r.value",
-        "r.accession_number",
-        "r.fiscal_year",
-        "fiscal_period",
-        "r.form",
-        F.date_format("r.filed_date", "yyyy-MM-dd").alias("filed_date"),
+        F.when(copy == "-S", "S-1").otherwise(F.col("base_form")).alias("form"),
+        F.date_format(filed, "yyyy-MM-dd").alias("filed_date"),
         "frame",
     )
 

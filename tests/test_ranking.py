@@ -10,7 +10,12 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerstrata.operators.ranking import group_quantiles, percent_ranks, rows_below
+from ledgerstrata.operators.ranking import (
+    group_quantiles,
+    largest_group,
+    percent_ranks,
+    rows_below,
+)
 
 
 def reference(df):
@@ -37,7 +42,9 @@ values = st.one_of(st.none(), st.integers(-3, 3).map(float), st.floats(-1e6, 1e6
 @given(st.lists(st.tuples(st.sampled_from("ab"), values), min_size=1, max_size=60))
 def test_percent_rank_matches_window(spark, rows):
     df = frame(spark, rows)
-    assert same(percent_ranks(df, ["g"], ["k"], {"p": "v"}, cuts=3), reference(df))
+    split = percent_ranks(df, ["g"], ["k"], {"p": "v"}, window_rows=0, cuts=3)
+    assert same(split, reference(df))
+    assert same(percent_ranks(df, ["g"], ["k"], {"p": "v"}), reference(df))
 
 
 @pytest.mark.parametrize("threshold", ["10485760", "-1"])
@@ -50,7 +57,8 @@ def test_hot_group_hot_value(spark, threshold):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        out = percent_ranks(df, ["g"], ["k"], {"p": "v"})
+        out = percent_ranks(df, ["g"], ["k"], {"p": "v"}, window_rows=1000)
+        assert "_slot" in plan(out)
         assert same(out, reference(df))
         # The ordered window runs per slot and salt, never per group.
         text = plan(rows_below(df, ["g"], "v", ["k"]))
@@ -81,6 +89,17 @@ def test_quantiles_match_numpy(spark):
     }
     df = frame(spark, [(g, v) for g, vs in data.items() for v in [*vs, None]])
     probabilities = {"q0": 0.0, "q25": 0.25, "q50": 0.5, "q90": 0.9, "q100": 1.0}
-    for row in group_quantiles(df, ["g"], "v", ["k"], probabilities, cuts=7).collect():
-        for name, p in probabilities.items():
-            assert row[name] == pytest.approx(np.quantile(data[row.g], p), abs=1e-9)
+    for limit in (0, 10_000):
+        out = group_quantiles(df, ["g"], "v", ["k"], probabilities, window_rows=limit, cuts=7)
+        assert ("_slot" in plan(out)) == (limit == 0)
+        for row in out.collect():
+            for name, p in probabilities.items():
+                assert row[name] == pytest.approx(np.quantile(data[row.g], p), abs=1e-9)
+
+
+def test_largest_group_decides(spark):
+    df = frame(spark, [("a", 1.0)] * 5 + [("b", 2.0)] * 3)
+    assert largest_group(df, ["g"]) == 5
+    assert largest_group(df.where("false"), ["g"]) == 0
+    assert "_slot" not in plan(percent_ranks(df, ["g"], ["k"], {"p": "v"}, window_rows=5))
+    assert "_slot" in plan(percent_ranks(df, ["g"], ["k"], {"p": "v"}, window_rows=4))
