@@ -6,8 +6,10 @@ resumes at a layer and nothing is held in memory between steps.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ledgerstrata.operators import bronze, dimensions, facts, gold, quality
@@ -18,12 +20,25 @@ from ledgerstrata.sources.tables import read_table
 GOLD_ORDER = ("company_metrics", "financial_ratios", "peer_comparison", "timeseries")
 
 
+def _together(spark: SparkSession, *writes: Callable[[], object]) -> None:
+    """Submit independent writes at once, so that the tail of one job leaves no
+    executor idle. The first failure is raised after all have ended."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]
+    for write in running:
+        write.result()
+
+
 def build_bronze(spark: SparkSession, documents: DataFrame, root: str, **options) -> dict[str, int]:
     """Write both bronze tables; returns row and passed counts observed on the way."""
-    save(bronze.extract_companies(documents), root, "raw_companies")
     observation = Observation("bronze_quality")
-    rows = bronze.extract_financials(documents, **options)
-    save(bronze.observe_quality(rows, observation), root, "raw_financials")
+    rows = bronze.observe_quality(bronze.extract_financials(documents, **options), observation)
+    companies = bronze.extract_companies(documents)
+    _together(
+        spark,
+        lambda: save(rows, root, "raw_financials"),
+        lambda: save(companies, root, "raw_companies"),
+    )
     return observation.get
 
 
@@ -35,20 +50,36 @@ def build_dimensions(
     sic_map: DataFrame | None = None,
 ) -> None:
     financials = facts.passed_only(read_table(spark, root, "raw_financials"))
-    companies = read_table(spark, root, "raw_companies")
-    save(
-        dimensions.build_dim_companies(companies, financials, submission_info, sic_map),
-        root,
-        "dim_companies",
+    companies = dimensions.build_dim_companies(
+        read_table(spark, root, "raw_companies"), financials, submission_info, sic_map
+    )
+    taxonomy = dimensions.build_dim_taxonomy(financials)
+    dates = dimensions.build_dim_dates(financials)
+    _together(
+        spark,
+        lambda: save(companies, root, "dim_companies"),
+        lambda: save(taxonomy, root, "dim_taxonomy"),
+        lambda: save(dates, root, "dim_dates"),
     )
-    save(dimensions.build_dim_taxonomy(financials), root, "dim_taxonomy")
-    save(dimensions.build_dim_dates(financials), root, "dim_dates")
 
 
 def build_facts(spark: SparkSession, root: str) -> None:
     raw = read_table(spark, root, "raw_financials")
-    save(facts.build_fact_financials(raw), root, "fact_financials")
-    save(facts.build_fact_submissions(raw), root, "fact_submissions")
+    financials, submissions = facts.build_fact_financials(raw), facts.build_fact_submissions(raw)
+    _together(
+        spark,
+        lambda: save(financials, root, "fact_financials"),
+        lambda: save(submissions, root, "fact_submissions"),
+    )
+
+
+def build_silver(spark: SparkSession, root: str, **enrichment: DataFrame | None) -> None:
+    """Dimensions and facts side by side: both need bronze only."""
+    _together(
+        spark,
+        lambda: build_facts(spark, root),
+        lambda: build_dimensions(spark, root, **enrichment),
+    )
 
 
 def gold_frame(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -68,10 +99,21 @@ def build_gold(
     spark: SparkSession, root: str, *, years: Iterable[int] | None = None
 ) -> list[DataFrame]:
     """Refresh the gold tables in dependency order, all years or the given ones."""
-    return [
-        refresh_view(spark, gold_frame(spark, root, name), root, name, years=years)
-        for name in GOLD_ORDER
-    ]
+    reports: dict[str, DataFrame] = {}
+
+    def refresh(*names: str) -> None:
+        for name in names:
+            reports[name] = refresh_view(
+                spark, gold_frame(spark, root, name), root, name, years=years
+            )
+
+    refresh("company_metrics")
+    _together(
+        spark,
+        lambda: refresh("financial_ratios", "peer_comparison"),
+        lambda: refresh("timeseries"),
+    )
+    return [reports[name] for name in GOLD_ORDER]
 
 
 def refresh_touched(spark: SparkSession, root: str, new_facts: DataFrame) -> list[DataFrame]:
@@ -94,8 +136,7 @@ def run(
 ) -> list[DataFrame]:
     """The whole batch: bronze, silver, checks (which stop the run), gold."""
     build_bronze(spark, documents, root)
-    build_dimensions(spark, root, submission_info=submission_info, sic_map=sic_map)
-    build_facts(spark, root)
+    build_silver(spark, root, submission_info=submission_info, sic_map=sic_map)
     suite = quality.warehouse_checks() if checks is None else checks
     if suite:
         quality.require(

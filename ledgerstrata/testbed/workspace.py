@@ -116,13 +116,12 @@ class Workspace:
 
     def _silver(self) -> None:
         self._once("bronze", self._bronze)
-        medallion.build_dimensions(
+        medallion.build_silver(
             self.spark,
             self.root,
             submission_info=extract_submission_info(self.submissions()),
             sic_map=filings.sic_map(self.spark, self.sf_dir),
         )
-        medallion.build_facts(self.spark, self.root)
 
     def _gold(self) -> None:
         self._once("silver", self._silver)
