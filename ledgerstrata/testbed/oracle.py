@@ -864,9 +864,16 @@ _ORACLE["k16_metrics_heatmap"] = f"""SELECT cik, company_name, ticker, revenue,
 FROM (SELECT *, {', '.join(f'percent_rank() OVER (ORDER BY {m} NULLS FIRST) * 100 AS p_{m}' for m in _HEAT)}
   FROM grown WHERE sector = 'ASIA' AND fiscal_year = 2023)
 ORDER BY revenue DESC NULLS LAST, cik LIMIT 50"""
-_FIT = f"""count(*) AS points, {rnd('regr_slope(net_profit_margin_pct, return_on_equity_pct)', 6)} AS slope,
-  {rnd('regr_intercept(net_profit_margin_pct, return_on_equity_pct)', 6)} AS intercept,
-  {rnd('regr_r2(net_profit_margin_pct, return_on_equity_pct)', 6)} AS r2"""
+
+
+def _fit(function: str) -> str:
+    # Undefined for points on one x; DuckDB says NaN there, the SQL standard NULL.
+    value = f"{function}(net_profit_margin_pct, return_on_equity_pct)"
+    return rnd(f"CASE WHEN NOT isnan({value}) THEN {value} END", 6)
+
+
+_FIT = f"""count(*) AS points, {_fit('regr_slope')} AS slope, {_fit('regr_intercept')} AS intercept,
+  {_fit('regr_r2')} AS r2"""
 _BOTH = "net_profit_margin_pct IS NOT NULL AND return_on_equity_pct IS NOT NULL"
 _ORACLE["k17_trendline_by_sector"] = (
     f"SELECT sector, {_FIT} FROM ratios WHERE fiscal_year = {_LATEST_FY} AND {_BOTH} GROUP BY sector"

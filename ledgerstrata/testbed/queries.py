@@ -403,7 +403,7 @@ def _(ws):
 
 @query("f11_sector_percentiles")
 def _(ws):
-    return gold.sector_percentiles(ws.table("financial_ratios"))
+    return gold.sector_percentiles(ws.table("financial_ratios").where("sector IS NOT NULL"))
 
 
 @query("f12_peer_count")
