@@ -10,6 +10,7 @@ from ledgerstrata.sources.layout import (
     daily_index_path,
     filings_path,
     layout_columns,
+    layout_glob,
     with_layout,
 )
 from ledgerstrata.sources.tables import read_table
@@ -19,6 +20,7 @@ __all__ = [
     "daily_index_path",
     "filings_path",
     "layout_columns",
+    "layout_glob",
     "list_members",
     "parse_documents",
     "parse_submissions",

@@ -26,6 +26,33 @@ def filings_path(cik: str, accession: str, filename: str) -> str:
     return f"filings/{cik}/{accession}/{filename}"
 
 
+def layout_glob(
+    layout: str,
+    *,
+    year: int | None = None,
+    month: int | None = None,
+    day: int | None = None,
+    cik: str | None = None,
+    accession: str | None = None,
+    filename: str = "*",
+) -> str:
+    """Path pattern for a part of the landing zone.
+
+    Handing it to a reader limits the listing itself, so files of other years
+    or companies are never looked at.
+    """
+    if layout == "bulk":
+        parts = ["bulk", f"{year:04d}" if year else "*", filename]
+    elif layout == "daily-index":
+        two = ["*" if n is None else f"{n:02d}" for n in (month, day)]
+        parts = ["daily-index", f"{year:04d}" if year else "*", *two, filename]
+    elif layout == "filings":
+        parts = ["filings", cik or "*", accession or "*", filename]
+    else:
+        raise ValueError(f"unknown layout {layout}")
+    return "/".join(parts)
+
+
 def layout_columns(path: Column | str) -> list[Column]:
     """Kind, year, index date, cik, accession and file name read off a path."""
     path = F.col(path) if isinstance(path, str) else path

@@ -196,6 +196,25 @@ def test_layout_round_trip(spark, path, expected):
     assert (row[0], row[1], day, *row[3:]) == expected
 
 
+def test_layout_glob_limits_the_listing(spark, scratch):
+    for year, month in [(2023, 12), (2024, 1), (2024, 2)]:
+        folder = Path(scratch) / sources.daily_index_path(year, month, 5, "docs")
+        folder.mkdir(parents=True)
+        (folder / "docs.json").write_text(json.dumps(document(year * 100 + month)))
+
+    def found(**part):
+        path = f"{scratch}/{sources.layout_glob('daily-index', **part)}"
+        return sorted(r.cik for r in sources.read_documents(spark, path).collect())
+
+    assert found() == ["202312", "202401", "202402"]
+    assert found(year=2024) == ["202401", "202402"]
+    assert found(year=2024, month=2, day=5) == ["202402"]
+    assert sources.layout_glob("bulk", year=2024) == "bulk/2024/*"
+    assert sources.layout_glob("filings", cik="7") == "filings/7/*/*"
+    with pytest.raises(ValueError):
+        sources.layout_glob("elsewhere")
+
+
 def test_nesting_round_trip(spark):
     """Long rows -> nested documents -> flatten gives back the same rows."""
     back = bronze.flatten_facts(workspace(spark, SF).documents()).drop("start_date")
@@ -223,3 +242,17 @@ def test_observed_quality_counts(spark, scratch):
     docs = read(spark, scratch, document(concepts=assets(fact(), fact(val=None))))
     counts = medallion.build_bronze(spark, docs, f"{scratch}/lake")
     assert counts == {"total_count": 2, "passed_count": 1}
+
+
+def test_layers_lie_under_the_checkpoint_folder(spark, scratch):
+    from ledgerstrata.testbed.workspace import shared_root
+
+    class Session:
+        def __init__(self, master, folder):
+            self.conf = type("Conf", (), {"get": lambda _, key, default: folder})()
+            self.sparkContext = type("Context", (), {"master": master})()
+
+    assert shared_root(Session("spark://host", "hdfs:///shared/")) == "hdfs:///shared"
+    assert shared_root(Session("local[2]", None)).startswith("/")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(Session("spark://host", None))

@@ -3,6 +3,8 @@
 import hashlib
 
 from conftest import plan
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgerstrata.operators import dimensions, facts
@@ -167,3 +169,52 @@ def test_hot_concept_is_counted_in_two_phases(spark):
 def test_dates_are_distinct_before_parsing(spark):
     df = raw(spark, *[raw_row() for _ in range(10)]).withColumn("x", F.lit(1))
     assert dimensions.build_dim_dates(df).count() == 1
+
+
+reported = st.fixed_dictionaries(
+    {
+        "cik_padded": st.sampled_from(["1", "2"]),
+        "concept": st.sampled_from(["Assets", "Revenues"]),
+        "end_date": st.sampled_from(["2023-12-31", "2022-12-31", "bad", None]),
+        "filed_date": st.sampled_from(["2024-02-01", "2024-05-01", None]),
+        "accession_number": st.sampled_from(["a", "b"]),
+        "start_date": st.sampled_from(["2023-01-01", "2023-10-01", None]),
+        "unit": st.sampled_from(["USD", "shares"]),
+        "value": st.integers(0, 3).map(float),
+        "data_quality_passed": st.sampled_from([True, True, False]),
+    }
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(reported, min_size=1, max_size=40))
+def test_latest_filing_matches_brute_force(spark, rows):
+    def day(text):
+        return None if text in (None, "bad") else text
+
+    def rank(r):
+        # Later is better; a missing date is worst. Unit ascending, value descending.
+        late = lambda v: v or ""
+        return (
+            late(day(r["filed_date"])),
+            r["accession_number"],
+            late(r["start_date"]),
+            r["unit"] == "USD",  # "USD" sorts before "shares"
+            r["value"],
+        )
+
+    best = {}
+    for r in rows:
+        key = (r["cik_padded"], r["concept"], day(r["end_date"]))
+        if r["data_quality_passed"] and (key not in best or rank(r) > rank(best[key])):
+            best[key] = r
+    df = raw(spark, *[raw_row(**r) for r in rows])
+    got = facts.build_fact_financials(df).collect()
+    assert len(got) == len(best)
+    for row in got:
+        want = best[row.cik, row.concept, row.end_date and str(row.end_date)]
+        assert (row.value, row.unit, row.accession_number) == (
+            want["value"],
+            want["unit"],
+            want["accession_number"],
+        )
