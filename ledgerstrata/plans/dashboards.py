@@ -245,14 +245,25 @@ def size_class(
 # --- one company -------------------------------------------------------------
 
 
-def select_company(df: DataFrame, *, ticker: str | None = None, cik: str | None = None) -> DataFrame:
+def company_id(companies: DataFrame, ticker: str) -> Column:
+    """Id of a ticker as a scalar subquery on the company dimension.
+
+    Tables are clustered by company id, not by ticker: a lookup by id skips the
+    row groups of all other companies, and this turns a ticker into one.
+    """
+    return companies.where(F.col("ticker") == ticker).agg(F.min("cik")).scalar()
+
+
+def select_company(
+    df: DataFrame, *, ticker: str | None = None, cik: str | Column | None = None
+) -> DataFrame:
     """Rows of one company by ticker or id."""
     if (ticker is None) == (cik is None):
         raise ValueError("give either a ticker or a cik")
     return df.where(F.col("ticker") == ticker if cik is None else F.col("cik") == cik)
 
 
-def company_header(metrics: DataFrame, **company: str) -> DataFrame:
+def company_header(metrics: DataFrame, **company: str | Column) -> DataFrame:
     """Name, sector and newest figures of a company."""
     return (
         select_company(metrics, **company)
@@ -275,7 +286,7 @@ def statement_table(
     metrics: DataFrame,
     statement: str = "income_statement",
     years: Sequence[int] = (2020, 2021, 2022, 2023),
-    **company: str,
+    **company: str | Column,
 ) -> DataFrame:
     """Line items down, fiscal years across. The years are given, so the pivot
     needs no pass to find them."""
@@ -299,7 +310,7 @@ def statement_table(
     )
 
 
-def ratio_cards(ratios: DataFrame, year: int, **company: str) -> DataFrame:
+def ratio_cards(ratios: DataFrame, year: int, **company: str | Column) -> DataFrame:
     """Key ratios of a company: value, change on the year before, sector mean."""
     this, before = F.col("fiscal_year") == year, F.col("fiscal_year") == year - 1
     own = (
@@ -331,7 +342,7 @@ def ratio_cards(ratios: DataFrame, year: int, **company: str) -> DataFrame:
     return own.join(sector, "sector", "left").select(F.inline(cards))
 
 
-def quarterly_trends(metrics: DataFrame, quarters: int = 12, **company: str) -> DataFrame:
+def quarterly_trends(metrics: DataFrame, quarters: int = 12, **company: str | Column) -> DataFrame:
     """Last quarters of a company with free cash flow, oldest first."""
     return (
         _quarters(select_company(metrics, **company))
@@ -379,7 +390,7 @@ def ttm_vs_annual(metrics: DataFrame) -> DataFrame:
     )
 
 
-def peer_table(peers: DataFrame, year: int, **company: str) -> DataFrame:
+def peer_table(peers: DataFrame, year: int, **company: str | Column) -> DataFrame:
     """Metrics of a company against sector mean and percentile."""
     rows = (
         ("gross_margin_pct", "sector_avg_gross_margin", "gross_margin_percentile"),
@@ -483,7 +494,7 @@ def trendline(
     return points.groupBy("sector").agg(*fit) if by_sector else points.agg(*fit)
 
 
-def percentile_bands(peers: DataFrame, year: int, **company: str) -> DataFrame:
+def percentile_bands(peers: DataFrame, year: int, **company: str | Column) -> DataFrame:
     """Percentiles of a company in three bands (below 25, 25-75, above 75)."""
     names = [
         "gross_margin_percentile",

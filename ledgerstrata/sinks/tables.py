@@ -26,6 +26,7 @@ def write_table(
     cluster_by: Iterable[str] = (),
     partition_overwrite: str = "static",
     max_records_per_file: int = 0,
+    table: str | None = None,
 ) -> None:
     """Write Parquet, one directory per partition value, sorted inside each file.
 
@@ -34,6 +35,8 @@ def write_table(
     advisory partition size over several tasks, so a year that holds most rows
     is not written by one task. Sorting by the clustering columns gives row
     groups narrow min/max ranges, which lets point and range filters skip them.
+
+    ``table`` also enters the files in the session catalog under that name.
     """
     cluster_by = list(cluster_by)
     if partition_by:
@@ -46,7 +49,10 @@ def write_table(
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    if table:
+        writer.format("parquet").option("path", path).saveAsTable(table)
+    else:
+        writer.parquet(path)
 
 
 def save(df: DataFrame, root: str, name: str, *, mode: str = "overwrite", audit: Iterable[str] = ()) -> None:

@@ -702,7 +702,8 @@ def _(ws):
 
 @query("k9_company_header")
 def _(ws):
-    return dashboards.company_header(ws.table("company_metrics"), ticker="AAPL")
+    cik = dashboards.company_id(ws.table("dim_companies"), "AAPL")
+    return dashboards.company_header(ws.table("company_metrics"), cik=cik)
 
 
 @query("k10_income_statement")
@@ -727,7 +728,8 @@ def _(ws):
 
 @query("k12_quarterly_trends")
 def _(ws):
-    return dashboards.quarterly_trends(ws.table("company_metrics"), ticker="MSFT")
+    cik = dashboards.company_id(ws.table("dim_companies"), "MSFT")
+    return dashboards.quarterly_trends(ws.table("company_metrics"), cik=cik)
 
 
 @query("k13_ttm_vs_annual")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerstrata import jobs, sinks, sources
 from ledgerstrata.operators import quality
-from ledgerstrata.plans import medallion
+from ledgerstrata.plans import dashboards, medallion
 from ledgerstrata.schemas import TABLES
 from ledgerstrata.sources.tables import table_path
 from ledgerstrata.testbed.workspace import workspace
@@ -70,6 +70,30 @@ def test_audit_columns_come_from_the_writer(spark, scratch):
     assert back.where("created_at IS NULL").count() == 0
 
 
+def test_catalog_table(spark, scratch):
+    df = spark.range(10).selectExpr("id", "2020 + id % 2 AS fiscal_year")
+    for mode, rows in [("overwrite", 10), ("append", 20), ("overwrite", 10)]:
+        sinks.write_table(
+            df, f"{scratch}/t", mode=mode, partition_by="fiscal_year", table="catalog_test"
+        )
+        assert spark.table("catalog_test").count() == rows
+    assert spark.read.parquet(f"{scratch}/t").count() == 10
+    spark.sql("DROP TABLE catalog_test")
+
+
+def test_ticker_lookup_goes_by_clustered_id(spark):
+    ws = workspace(spark, SF)
+    cik = dashboards.company_id(ws.table("dim_companies"), "MSFT")
+    found = dashboards.select_company(ws.table("company_metrics"), cik=cik)
+    by_ticker = dashboards.select_company(ws.table("company_metrics"), ticker="MSFT")
+    assert found.count() == by_ticker.count() > 0
+    assert found.exceptAll(by_ticker).count() == 0
+    scan = next(x for x in plan(found).splitlines() if "FileScan" in x and "revenue" in x)
+    assert "subquery" in scan.split("DataFilters:")[1].lower()
+    with pytest.raises(ValueError):
+        dashboards.select_company(by_ticker)
+
+
 def copy_lake(spark, ws, root):
     for name in TABLES:
         medallion.save(ws.table(name), root, name)
