@@ -4,10 +4,11 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_point
+from ledgerstrata.testbed import oracle, queries as registry
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry_point.queries()
-ORACLE = entry_point.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,7 @@ def duck():
 
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_point.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
