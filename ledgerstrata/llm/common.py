@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import string
 import uuid
 
@@ -51,3 +52,19 @@ def lower_ascii(text: Column) -> Column:
 def remainder_of_id(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; NULL ids count as the empty text."""
     return (F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n).cast("int")
+
+
+def word_blocks(text: bytes, size: int = 4 << 20):
+    """The words of ``text`` as lists, cut at spaces about every ``size`` bytes."""
+    if len(text) <= size:
+        yield text.split()
+        return
+    start = 0
+    for gap in _GAP.finditer(text):
+        if gap.start() - start >= size:
+            yield text[start : gap.start()].split()
+            start = gap.end()
+    yield text[start:].split()
+
+
+_GAP = re.compile(rb"[\x20\x09-\x0D]+")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerstrata.llm import exact_dedup
+from ledgerstrata.llm import exact_dedup, simhash
 from ledgerstrata.llm.common import table
 
 
@@ -14,8 +14,12 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op2_exact_dedup,)}
+    return {query.__name__: query for query in (op2_exact_dedup, op4_simhash_near_dedup)}
 
 
 ASCII_LOWER = (
