@@ -20,6 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Path of an installed public vocabulary file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder on the storage that all executors share."""
     return f"{shared_root(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"

@@ -6,20 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerstrata.llm import exact_dedup, simhash
-from ledgerstrata.llm.common import table
+from ledgerstrata.llm import exact_dedup, simhash, token_store
+from ledgerstrata.llm.common import table, vocabulary
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.token_round_trip(
+        table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), words="spaced"
+    )
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op2_exact_dedup, op4_simhash_near_dedup)}
+    return {query.__name__: query for query in (op2_exact_dedup, op3_token_store, op4_simhash_near_dedup)}
 
 
 ASCII_LOWER = (
