@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerstrata.llm import exact_dedup, simhash, token_store
+from ledgerstrata.llm import exact_dedup, packing, simhash, token_store
 from ledgerstrata.llm.common import table, vocabulary
 
 
@@ -24,8 +24,14 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(
+        table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), 2048, words="dropped"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op2_exact_dedup, op3_token_store, op4_simhash_near_dedup)}
+    return {query.__name__: query for query in (op2_exact_dedup, op3_token_store, op4_simhash_near_dedup, op10_best_fit_packing)}
 
 
 ASCII_LOWER = (
