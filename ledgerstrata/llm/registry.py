@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerstrata.llm import exact_dedup, packing, simhash, token_store
+from ledgerstrata.llm import exact_dedup, packing, simhash, token_store, warc
 from ledgerstrata.llm.common import table, vocabulary
 
 
@@ -24,6 +24,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.capture_digests(warc.capture_round_trip(table(spark, sf_dir, "pages"), min_bytes=0))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(
         table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), 2048, words="dropped"
@@ -31,7 +35,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op2_exact_dedup, op3_token_store, op4_simhash_near_dedup, op10_best_fit_packing)}
+    return {query.__name__: query for query in (op2_exact_dedup, op3_token_store, op4_simhash_near_dedup, op5_warc_transactions, op10_best_fit_packing)}
 
 
 ASCII_LOWER = (
@@ -47,6 +51,20 @@ _SQL = {
                doc_id = max(doc_id) OVER (PARTITION BY norm) AS kept,
                sha256(norm) AS text_sha256
         FROM d""",
+    # A SHA-1 is eight groups of five hexadecimal digits, each four base32 letters.
+    "op5_warc_transactions": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+        k AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS keep, sha1(body) AS hex FROM p)
+        SELECT page_id,
+               octet_length(encode(body)) AS payload_bytes,
+               list_aggregate(list_transform(range(0, 32), lambda i: substr(
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + ((('0x' || substr(hex, CAST(5 * (i // 4) + 1 AS BIGINT), 5))::BIGINT
+                         >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31), 1)), 'string_agg', '')
+                   AS payload_digest,
+               CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = keep THEN NULL ELSE keep END AS refers_to
+        FROM k""",
 }
 
 
