@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerstrata.llm import exact_dedup, packing, simhash, token_store, warc
+from ledgerstrata.llm import exact_dedup, interpolation, packing, simhash, token_store, warc
 from ledgerstrata.llm.common import table, vocabulary
 
 
@@ -28,6 +28,10 @@ def op5_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.capture_digests(warc.capture_round_trip(table(spark, sf_dir, "pages"), min_bytes=0))
 
 
+def op9_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation.score(table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(
         table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), 2048, words="dropped"
@@ -35,7 +39,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op2_exact_dedup, op3_token_store, op4_simhash_near_dedup, op5_warc_transactions, op10_best_fit_packing)}
+    return {query.__name__: query for query in (op2_exact_dedup, op3_token_store, op4_simhash_near_dedup, op5_warc_transactions, op9_deleted_interpolation, op10_best_fit_packing)}
 
 
 ASCII_LOWER = (
