@@ -9,7 +9,8 @@ so equality rests on no digest.
 Per level the bytes move in one join, and a group shrinks to one row per task
 before it is counted. The groups are stored before rows are joined to them, so
 both sides of that join are plain scans and adaptive execution can split a digit
-that a third of all rows share.
+that a third of all rows share. The joins that move text always shuffle, whatever
+the size of the other side, so the plan of a small corpus is that of a large one.
 
 * NULL text is empty; empty texts equal each other.
 * NULL ``doc_id`` ranks below every id; a group of such rows has a NULL
@@ -45,7 +46,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
     body = F.when(F.col("n").isNotNull(), F.col("body"))
     return stored(
-        rows.join(shared, ["size", "digit"], "left").select(
+        rows.join(shared.hint("merge"), ["size", "digit"], "left").select(
             F.monotonically_increasing_id().alias("row"),
             "doc_id",
             "size",
@@ -85,7 +86,7 @@ def exact_groups(
                 F.substring("body", offset + 1, width).alias("next"),
             )
         else:
-            current = active.join(open_rows.select("row", "body"), "row").select(
+            current = active.hint("merge").join(open_rows.select("row", "body"), "row").select(
                 "row", "size", "name", F.lit(None).cast("binary").alias("digit"),
                 F.substring("body", offset + 1, width).alias("next"),
             )
@@ -98,7 +99,7 @@ def exact_groups(
             "radix-groups",
         )
         split = stored(
-            current.join(groups, keys).select("row", "size", F.col("new_name").alias("name"), "n"),
+            current.join(groups.hint("merge"), keys).select("row", "size", F.col("new_name").alias("name"), "n"),
             "radix-level",
         )
         offset += width
