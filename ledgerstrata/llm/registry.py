@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerstrata.llm import exact_dedup, interpolation, packing, simhash, token_store, warc
+from ledgerstrata.llm import exact_dedup, interpolation, packing, quality_model, simhash, token_store, warc
 from ledgerstrata.llm.common import table, vocabulary
 
 
@@ -28,6 +28,12 @@ def op5_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.capture_digests(warc.capture_round_trip(table(spark, sf_dir, "pages"), min_bytes=0))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score_quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op9_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolation.score(table(spark, sf_dir, "documents"))
 
@@ -39,7 +45,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op2_exact_dedup, op3_token_store, op4_simhash_near_dedup, op5_warc_transactions, op9_deleted_interpolation, op10_best_fit_packing)}
+    return {query.__name__: query for query in (op2_exact_dedup, op3_token_store, op4_simhash_near_dedup, op5_warc_transactions, op6_quality_classifier, op9_deleted_interpolation, op10_best_fit_packing)}
 
 
 ASCII_LOWER = (
