@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerstrata.llm import exact_dedup, interpolation, packing, quality_model, simhash, token_store, warc
+from ledgerstrata.llm import (
+    exact_dedup,
+    interpolation,
+    mixing,
+    packing,
+    quality_model,
+    simhash,
+    token_store,
+    warc,
+)
 from ledgerstrata.llm.common import table, vocabulary
 
 
@@ -34,6 +43,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op9_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolation.score(table(spark, sf_dir, "documents"))
 
@@ -45,7 +58,19 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op2_exact_dedup, op3_token_store, op4_simhash_near_dedup, op5_warc_transactions, op6_quality_classifier, op9_deleted_interpolation, op10_best_fit_packing)}
+    return {
+        query.__name__: query
+        for query in (
+            op2_exact_dedup,
+            op3_token_store,
+            op4_simhash_near_dedup,
+            op5_warc_transactions,
+            op6_quality_classifier,
+            op7_mix_to_targets,
+            op9_deleted_interpolation,
+            op10_best_fit_packing,
+        )
+    }
 
 
 ASCII_LOWER = (
