@@ -10,6 +10,7 @@ from ledgerstrata.llm import (
     exact_dedup,
     interpolation,
     mixing,
+    outliers,
     packing,
     quality_model,
     simhash,
@@ -19,6 +20,10 @@ from ledgerstrata.llm import (
 from ledgerstrata.llm.common import table, vocabulary
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -61,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         query.__name__: query
         for query in (
+            op1_quality_rules,
             op2_exact_dedup,
             op3_token_store,
             op4_simhash_near_dedup,
