@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerstrata.llm import (
     exact_dedup,
     interpolation,
+    licenses,
     mixing,
     outliers,
     packing,
@@ -52,6 +53,10 @@ def op7_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licences(licenses.documents_as_files(table(spark, sf_dir, "documents")))
+
+
 def op9_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolation.score(table(spark, sf_dir, "documents"))
 
@@ -73,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op5_warc_transactions,
             op6_quality_classifier,
             op7_mix_to_targets,
+            op8_license_scan,
             op9_deleted_interpolation,
             op10_best_fit_packing,
         )
@@ -110,4 +116,4 @@ _SQL = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return _SQL | {"op8_license_scan": licenses.licence_sql()}
