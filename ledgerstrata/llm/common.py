@@ -6,8 +6,9 @@ import re
 import string
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ledgerstrata.testbed.workspace import shared_root
 
@@ -61,6 +62,64 @@ def remainder_of_id(doc_id: Column, n: int) -> Column:
     return (F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n).cast("int")
 
 
+def map_texts(docs: DataFrame, text_col: str, start, fields: dict[str, str]) -> DataFrame:
+    """``docs`` with columns computed from whole texts, every other column passed through.
+
+    ``start()`` is called once per task and returns a function from a text (bytes,
+    never NULL) to one tuple with the values of ``fields`` (name to Spark type).
+    """
+    names = list(fields)
+
+    def run(batches):
+        import pyarrow as pa
+
+        compute = start()
+        for batch in batches:
+            texts = batch.column(at).cast(pa.binary())
+            rows = [compute(text.as_py() or b"") for text in texts]
+            added = [pa.array([row[i] for row in rows], kinds[i]) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *added], names=[*batch.schema.names, *names]
+            )
+
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import StructType
+
+    if docs.schema[text_col].dataType != StringType():
+        docs = docs.withColumn(text_col, F.col(text_col).cast("string"))
+    at = docs.columns.index(text_col)
+    extra = StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in fields.items()))
+    kinds = [to_arrow_type(field.dataType) for field in extra]
+    return docs.mapInArrow(run, StructType(docs.schema.fields + extra.fields))
+
+
+def spare_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one where ``df`` already has a column of that name."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def only_rows(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row of ``docs`` for each ``(doc_id, text_key)`` of ``wanted``.
+
+    ``text_key`` is the 64-bit hash of the text as it is, so rows that repeat an
+    id are told apart; of fully repeated rows one stays.
+    """
+    key, place = spare_name(docs, "text_key"), spare_name(docs, "place")
+    left = docs.withColumn(key, F.xxhash64(F.col(text_col)))
+    right = wanted.select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key")).distinct()
+    same = left[id_col].eqNullSafe(right["_doc_id"]) & (left[key] == right["_text_key"])
+    order = Window.partitionBy(id_col, key).orderBy(F.lit(0))
+    return (
+        left.join(right, same, "left_semi")
+        .withColumn(place, F.row_number().over(order))
+        .where(F.col(place) == 1)
+        .select(*docs.columns)
+    )
+
+
 def word_blocks(text: bytes, size: int = 4 << 20):
     """The words of ``text`` as lists, cut at spaces about every ``size`` bytes."""
     if len(text) <= size:

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstrata.llm.common import lower_ascii, stored
+from ledgerstrata.llm.common import lower_ascii, only_rows, stored
 
 FIRST_DIGIT = 64
 WIDTHS = (4 << 10, 64 << 10, 1 << 20)
@@ -34,9 +34,12 @@ WIDTHS = (4 << 10, 64 << 10, 1 << 20)
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per document, all text bytes only where the first digit is shared."""
     rows = docs.select(
-        F.col(id_col).alias("doc_id"), lower_ascii(F.col(text_col)).cast("binary").alias("body")
+        F.col(id_col).alias("doc_id"),
+        lower_ascii(F.col(text_col)).cast("binary").alias("body"),
+        F.xxhash64(F.col(text_col)).alias("text_key"),
     ).select(
         "doc_id",
+        "text_key",
         "body",
         F.octet_length("body").alias("size"),
         F.substring("body", 1, FIRST_DIGIT).alias("digit"),
@@ -49,6 +52,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         rows.join(shared.hint("merge"), ["size", "digit"], "left").select(
             F.monotonically_increasing_id().alias("row"),
             "doc_id",
+            "text_key",
             "size",
             F.when(F.col("n").isNotNull(), F.col("digit")).alias("digit"),
             body.alias("body"),
@@ -64,8 +68,9 @@ def exact_groups(
     text_col: str = "text",
     widths: tuple[int, ...] = WIDTHS,
 ) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, text_key.
 
+    ``text_key`` hashes the text as it was given; it only names the row.
     ``widths`` are the byte counts of the digits after the first; the last one
     repeats until every text has ended.
     """
@@ -122,4 +127,10 @@ def exact_groups(
         F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
         (F.col("n").isNull() | (F.col("best.row") == F.col("row"))).alias("kept"),
         "text_sha256",
+        "text_key",
     )
+
+
+def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stay."""
+    return only_rows(docs, exact_groups(docs, id_col, text_col).where("kept"), id_col, text_col)

@@ -32,7 +32,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstrata.llm.common import stored, word_blocks
+from ledgerstrata.llm.common import map_texts, spare_name, stored, word_blocks
 
 TOPICS = 8
 TOPIC_WORD = 7  # bytes of a word that votes
@@ -55,45 +55,23 @@ def topic_and_tokens(text: bytes) -> tuple[str | None, int]:
     return f"t{min(votes, key=lambda topic: (-votes[topic], topic))}", tokens
 
 
-def document_facts(
+def with_facts(
     docs: DataFrame,
-    id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
     lang_col: str = "lang",
     topic_col: str | None = None,
-) -> DataFrame:
-    """``(doc_id, source, lang, topic, tokens)`` per row, absent categories as ``ABSENT``."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            found = [topic_and_tokens(text.as_py() or b"") for text in batch.column(4)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in range(4)]
-                + [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int64())],
-                names=["doc_id", "source", "lang", "given", "found", "tokens"],
-            )
-
-    given = F.col(topic_col).cast("string") if topic_col else F.lit(None).cast("string")
-    read = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.col(source_col).cast("string").alias("source"),
-        F.col(lang_col).cast("string").alias("lang"),
-        given.alias("given"),
-        F.col(text_col).cast("string").cast("binary").alias("text"),
-    ).mapInArrow(
-        run, "doc_id long, source string, lang string, given string, found string, tokens long"
-    )
-    topic = F.col("given") if topic_col else F.col("found")
-    return read.select(
-        "doc_id",
-        F.coalesce("source", F.lit(ABSENT)).alias("source"),
-        F.coalesce("lang", F.lit(ABSENT)).alias("lang"),
-        F.coalesce(topic, F.lit(ABSENT)).alias("topic"),
-        "tokens",
+) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its cell and tokens in columns of their own, and the names of those columns."""
+    names = {name: spare_name(docs, f"mix_{name}") for name in (*DIMENSIONS, "tokens")}
+    read = map_texts(
+        docs, text_col, lambda: topic_and_tokens, {names["topic"]: "string", names["tokens"]: "long"}
     )
+    given = {"source": source_col, "lang": lang_col, "topic": topic_col or names["topic"]}
+    cell = {
+        names[d]: F.coalesce(F.col(column).cast("string"), F.lit(ABSENT)) for d, column in given.items()
+    }
+    return read.withColumns(cell), names
 
 
 def flattened(cells: DataFrame, dimension: str, power: float) -> DataFrame:
@@ -209,12 +187,36 @@ def _draw(doc_id: Column, seed: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(doc_id, F.lit(seed)), 11) / F.lit(float(1 << 53))
 
 
+def cell_weights(
+    cells: DataFrame,
+    targets: dict[str, DataFrame] | None,
+    budget_share: float,
+    sweeps: int = SWEEPS,
+) -> DataFrame:
+    """Weight and sampling probability per cell; ``cells`` is a stored table."""
+    goals = {d: flattened(cells, d, FLATTENING[d]) for d in DIMENSIONS} | (targets or {})
+    raked = stored(rake(cells, goals, sweeps), "mix-raked")
+    all_tokens = float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    rate = sampling_rate(raked, budget_share * all_tokens)
+    scaled = raked.select(*DIMENSIONS, (F.col("raked") / F.col("tokens")).alias("weight"))
+    weight = F.coalesce("weight", F.lit(1.0))
+    return stored(
+        cells.join(scaled, list(DIMENSIONS), "left").select(
+            *DIMENSIONS,
+            F.round(weight, 9).alias("weight"),
+            F.round(F.least(F.lit(1.0), weight * rate), 9).alias("probability"),
+        ),
+        "mix-weights",
+    )
+
+
 def mix(
     docs: DataFrame,
     targets: dict[str, DataFrame] | None = None,
     budget_share: float = 0.5,
     seed: int = 1,
     sweeps: int = SWEEPS,
+    id_col: str = "doc_id",
     **columns,
 ) -> DataFrame:
     """One row per document: doc_id, source, lang, topic, tokens, weight, probability, sampled.
@@ -224,26 +226,45 @@ def mix(
     expected to hold. Where a cell has too few tokens for its target it is taken
     whole, and the others share the rest in proportion.
     """
-    facts = stored(document_facts(docs, **columns), "mix-facts")
+    read, names = with_facts(docs, **columns)
+    facts = stored(
+        read.select(F.col(id_col).alias("doc_id"), *[F.col(n).alias(k) for k, n in names.items()]),
+        "mix-facts",
+    )
+    cells = stored(facts.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "mix-cells")
+    weights = cell_weights(cells, targets, budget_share, sweeps)
+    return facts.join(weights, list(DIMENSIONS)).select(
+        "doc_id",
+        *[F.nullif(F.col(d), F.lit(ABSENT)).alias(d) for d in DIMENSIONS],
+        "tokens",
+        "weight",
+        "probability",
+        (_draw(F.col("doc_id"), seed) < F.col("probability")).alias("sampled"),
+    )
+
+
+def sample_mix(
+    docs: DataFrame,
+    targets: dict[str, DataFrame] | None = None,
+    budget_share: float = 0.5,
+    seed: int = 1,
+    sweeps: int = SWEEPS,
+    id_col: str = "doc_id",
+    **columns,
+) -> DataFrame:
+    """The sampled rows of ``docs``, with all their columns."""
+    read, names = with_facts(docs, **columns)
+    own = [F.col(names[d]).alias(d) for d in DIMENSIONS]
     cells = stored(
-        facts.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "mix-cells"
+        read.select(*own, F.col(names["tokens"]).alias("tokens"))
+        .groupBy(*DIMENSIONS)
+        .agg(F.sum("tokens").alias("tokens")),
+        "mix-cells",
     )
-    goals = {d: flattened(cells, d, FLATTENING[d]) for d in DIMENSIONS} | (targets or {})
-    raked = stored(rake(cells, goals, sweeps), "mix-raked")
-    all_tokens = float(cells.agg(F.sum("tokens")).first()[0] or 0)
-    rate = sampling_rate(raked, budget_share * all_tokens)
-    weights = raked.select(*DIMENSIONS, (F.col("raked") / F.col("tokens")).alias("weight"))
-    probability = F.least(F.lit(1.0), F.col("weight") * rate)
-    return (
-        facts.join(weights, list(DIMENSIONS), "left")
-        .withColumn("weight", F.coalesce("weight", F.lit(1.0)))
-        .withColumn("probability", probability)
-        .select(
-            "doc_id",
-            *[F.nullif(F.col(d), F.lit(ABSENT)).alias(d) for d in DIMENSIONS],
-            "tokens",
-            F.round("weight", 9).alias("weight"),
-            F.round("probability", 9).alias("probability"),
-            (_draw(F.col("doc_id"), seed) < F.round("probability", 9)).alias("sampled"),
-        )
+    weights = cell_weights(cells, targets, budget_share, sweeps).select(
+        *[F.col(d).alias(f"{names[d]}_cell") for d in DIMENSIONS],
+        F.col("probability").alias(f"{names['tokens']}_p"),
     )
+    same = [F.col(names[d]) == F.col(f"{names[d]}_cell") for d in DIMENSIONS]
+    drawn = _draw(F.col(id_col), seed) < F.col(f"{names['tokens']}_p")
+    return read.join(weights, same).where(drawn).select(*docs.columns)

@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstrata.llm.common import remainder_of_id, stored
+from ledgerstrata.llm.common import map_texts, remainder_of_id, spare_name, stored
 
 WORDS = 1 << 15
 DIMENSIONS = 64
@@ -164,30 +164,14 @@ def pooled(ids: np.ndarray, vectors: np.ndarray, weights: np.ndarray) -> np.ndar
     return out
 
 
-def document_vectors(
-    docs: DataFrame, vectors: np.ndarray, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``(doc_id, features)`` per row, the features as 32-bit floats in one binary value."""
-    shared = docs.sparkSession.sparkContext.broadcast((vectors, weights))
+def pooling(shared):
+    """A task's function from a text to the features of its document.
 
-    def run(batches):
-        import pyarrow as pa
-
-        buckets = Buckets()
-        vectors, weights = shared.value
-        for batch in batches:
-            rows = [
-                pooled(bucket_ids(text.as_py() or b"", buckets), vectors, weights).tobytes()
-                for text in batch.column(1)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(rows, pa.binary())], names=["doc_id", "features"]
-            )
-
-    source = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary")
-    )
-    return source.mapInArrow(run, "doc_id long, features binary")
+    ``shared`` is a broadcast of word vectors and pooling weights.
+    """
+    vectors, weights = shared.value
+    buckets = Buckets()
+    return lambda text: pooled(bucket_ids(text, buckets), vectors, weights)
 
 
 # --- the network ---------------------------------------------------------------------------
@@ -273,7 +257,7 @@ def _matrix(values) -> np.ndarray:
     return np.frombuffer(joined, np.float32).reshape(-1, FEATURES).astype(np.float64)
 
 
-def score_quality(
+def fit_quality(
     docs: DataFrame,
     labels: DataFrame,
     id_col: str = "doc_id",
@@ -281,27 +265,43 @@ def score_quality(
     label_col: str = "quality",
     folds: int = 5,
     held_out_fold: int = 0,
-    threshold: float = THRESHOLD,
     train_rows: int = TRAIN_ROWS,
-) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted.
+):
+    """Word vectors of all of ``docs`` (as a broadcast) and the network trained on its labels.
 
     Labels are read only of documents whose crc32(id as text) modulo ``folds`` is
     not ``held_out_fold``.
     """
-    fold = remainder_of_id(F.col("doc_id"), folds)
-    vectors, weights = word_vectors(context_sums(docs, text_col))
-    features = stored(document_vectors(docs, vectors, weights, id_col, text_col), "document-vectors")
-
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(word_vectors(context_sums(docs, text_col)))
+    named = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
+    )
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).alias("label"))
-        .where(F.col("label").isin(0, 1) & (fold != held_out_fold))
+        .where(F.col("label").isin(0, 1) & (remainder_of_id(F.col("doc_id"), folds) != held_out_fold))
         .groupBy("doc_id")
         .agg(F.min("label").alias("label"), F.max("label").alias("other"))
         .where("label = other")
+        .drop("other")
     )
+    chosen = stored(
+        named.select("doc_id")
+        .distinct()
+        .join(known, "doc_id")
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(train_rows),
+        "training-ids",
+    )
+
+    def start():
+        pool = pooling(shared)
+        return lambda text: (pool(text).tobytes(),)
+
+    # At most ``train_rows`` ids, so they may go to every task.
+    texts = named.join(F.broadcast(chosen), "doc_id")
     sample = (
-        features.join(known, "doc_id")
+        map_texts(texts, "text", start, {"features": "binary"})
         .select("doc_id", "features", "label")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "features")
         .limit(train_rows)
@@ -310,22 +310,49 @@ def score_quality(
     x = _matrix(bytes(row["features"]) for row in sample)
     y = np.array([int(row["label"]) for row in sample])
     keep = np.array([zlib.crc32(b"keep %d" % row["doc_id"]) % 4 == 0 for row in sample], bool)
-    model = Network(x, y, keep)  # a few thousand numbers, sent with the task
+    return shared, Network(x, y, keep)
 
-    def run(batches):
-        import pyarrow as pa
 
-        for batch in batches:
-            if batch.num_rows:
-                p = model.probability(_matrix(batch.column(1).to_pylist()))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(p)], names=["doc_id", "score"]
-                )
-
-    return (
-        features.mapInArrow(run, "doc_id long, score double")
-        .withColumn("held_out", fold == held_out_fold)
-        .select(
-            "doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted")
-        )
+def with_score(docs: DataFrame, shared, network: Network, text_col: str, score_col: str) -> DataFrame:
+    """``docs`` with the probability of label 1 in ``score_col``."""
+
+    def start():
+        pool = pooling(shared)
+        return lambda text: (float(network.probability(pool(text)[None].astype(np.float64))[0]),)
+
+    return map_texts(docs, text_col, start, {score_col: "double"})
+
+
+def score_quality(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
+    folds: int = 5,
+    held_out_fold: int = 0,
+    threshold: float = THRESHOLD,
+    train_rows: int = TRAIN_ROWS,
+) -> DataFrame:
+    """One row per document: doc_id, held_out, score, predicted."""
+    shared, network = fit_quality(
+        docs, labels, id_col, text_col, label_col, folds, held_out_fold, train_rows
     )
+    named = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
+    )
+    return with_score(named, shared, network, "text", "score").select(
+        "doc_id",
+        (remainder_of_id(F.col("doc_id"), folds) == held_out_fold).alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score reaches ``threshold``."""
+    text_col = options.get("text_col", "text")
+    shared, network = fit_quality(docs, labels, **options)
+    score = spare_name(docs, "quality_score")
+    scored = with_score(docs, shared, network, text_col, score)
+    return scored.where(F.col(score) >= threshold).select(*docs.columns)

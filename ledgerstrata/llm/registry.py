@@ -26,7 +26,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op5_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstrata.llm.common import stored, word_blocks
+from ledgerstrata.llm.common import only_rows, stored, word_blocks
 from ledgerstrata.llm.components import connected_components
 
 RADIUS = 3
@@ -71,23 +71,28 @@ def simhash(text: bytes, shingle: int = 3) -> int:
 def fingerprints(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3
 ) -> DataFrame:
-    """``(doc_id, fp)`` per row, the fingerprint as a signed long."""
+    """``(doc_id, text_key, fp)`` per row, the fingerprint as a signed long."""
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
             prints = np.fromiter(
-                (simhash(text or b"", shingle) for text in batch.column(1).to_pylist()),
+                (simhash(text.as_py() or b"", shingle) for text in batch.column(2)),
                 "<u8",
                 batch.num_rows,
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints.view("<i8"))], names=["doc_id", "fp"]
+                [batch.column(0), batch.column(1), pa.array(prints.view("<i8"))],
+                names=["doc_id", "text_key", "fp"],
             )
 
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary"))
-    return source.mapInArrow(run, "doc_id long, fp long")
+    source = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.xxhash64(F.col(text_col)).alias("text_key"),
+        F.col(text_col).cast("binary").alias("text"),
+    )
+    return source.mapInArrow(run, "doc_id long, text_key long, fp long")
 
 
 # --- BK-trees ----------------------------------------------------------------------
@@ -286,7 +291,10 @@ def near_duplicates(
     radius: int = RADIUS,
     tree_rows: int = TREE_ROWS,
 ) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits), component_id."""
+    """One row per document: doc_id, fingerprint (16 hex digits), component_id, text_key.
+
+    ``text_key`` hashes the text as it was given; it only names the row.
+    """
     prints = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "print-nodes")
     roots = connected_components(fingerprint_links(nodes, radius, tree_rows))
@@ -299,5 +307,25 @@ def near_duplicates(
     least = stored(named.groupBy("root").agg(F.min("low").alias("component_id")), "print-least")
     members = stored(named.join(least, "root").select("fp", "component_id"), "print-components")
     return prints.join(members, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id",
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        "component_id",
+        "text_key",
+    )
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` per component, with all its columns: that with the least id.
+
+    A component whose ids are all NULL keeps one row per fingerprint.
+    """
+    groups = near_duplicates(docs, id_col, text_col)
+    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # Rows that repeat the least id, and components whose ids are all NULL.
+    group = F.when(F.col("component_id").isNull(), F.col("fingerprint"))
+    winners = (
+        first.groupBy("component_id", group.alias("print"))
+        .agg(F.min("text_key").alias("text_key"))
+        .select(F.col("component_id").alias("doc_id"), "text_key")
     )
+    return only_rows(docs, winners, id_col, text_col)
