@@ -185,10 +185,11 @@ def shard_links(units: np.ndarray, prints: np.ndarray, in_tree, in_query, radius
 
     query_at = np.flatnonzero(in_query & np.isin(units, present))
     query_runs = np.searchsorted(present, units[query_at])
-    # What lies within the radius of the root is one component already. Pairs of
-    # such rows need no search, so only the other rows query the tree.
+    # What lies within the radius of the root is one component already. In a unit
+    # whose queries are its tree, pairs of such rows need no search, and every
+    # other pair is found by the query of its other row.
     hub = tree_at[roots[query_runs]]
-    near = _distance(prints[query_at], prints[hub]) <= radius
+    near = in_tree[query_at] & (_distance(prints[query_at], prints[hub]) <= radius)
     labels = _merge(labels, query_at[near], hub[near])
     tree_near = _distance(tree, tree[roots[runs]]) <= radius
     labels = _merge(labels, tree_at[tree_near], tree_at[roots[runs]][tree_near])
