@@ -39,7 +39,7 @@ TOPIC_WORD = 7  # bytes of a word that votes
 FLATTENING = {"source": 0.7, "lang": 0.7, "topic": 0.5}
 DIMENSIONS = ("source", "lang", "topic")
 ABSENT = "\u0000"
-SWEEPS = 200
+SWEEPS = 60
 TOLERANCE = 1e-5
 MOST_PAIRS = 1_000_000
 
