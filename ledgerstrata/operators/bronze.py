@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerstrata.functions import statement_type
 from ledgerstrata.schemas import PARSE_YEAR_RANGE, STATEMENTS, VALID_FORMS, VALID_UNITS
+from ledgerstrata.sources.documents import CORRUPT, valid_documents
 
 
 def pad_cik(cik: Column | str = "cik") -> Column:
@@ -22,7 +23,12 @@ def year_quarter() -> Column:
 
 
 def extract_companies(documents: DataFrame) -> DataFrame:
-    """One row per document: ids, name, first ticker, first exchange."""
+    """One row per document: ids, name, first ticker, first exchange.
+
+    Documents that could not be parsed are left out.
+    """
+    if CORRUPT in documents.columns:
+        documents = valid_documents(documents)
     return documents.select(
         "cik",
         pad_cik().alias("cik_padded"),

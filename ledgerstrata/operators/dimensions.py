@@ -41,16 +41,23 @@ def enrich_sector(
         blank = F.lit(None).cast("string")
         return companies.withColumns({"sic_code": blank, "industry": blank, "sector": blank})
 
-    # One row per company whatever the documents repeat.
+    def first_known(*columns: str):
+        """The least values of columns that belong together, rows with NULLs last."""
+        missing = [F.col(c).isNull().alias(f"no_{c}") for c in columns]
+        return F.min(F.struct(*missing, *columns))
+
+    # One row per company whatever the documents repeat. A code goes with its
+    # description and a ticker with its exchange; the two may come from different documents.
     info = submission_info.groupBy("cik").agg(
-        F.min(F.struct("sic_code", "sic_description", "ticker", "exchange")).alias("info")
+        first_known("sic_code", "sic_description").alias("sic"),
+        first_known("ticker", "exchange").alias("listing"),
     )
     joined = companies.join(info, "cik", "left").select(
         *[c for c in companies.columns if c not in ("ticker", "exchange")],
-        F.coalesce("ticker", "info.ticker").alias("ticker"),
-        F.coalesce("exchange", "info.exchange").alias("exchange"),
-        F.col("info.sic_code").alias("sic_code"),
-        F.col("info.sic_description").alias("sic_description"),
+        F.coalesce("ticker", "listing.ticker").alias("ticker"),
+        F.coalesce("exchange", "listing.exchange").alias("exchange"),
+        F.col("sic.sic_code").alias("sic_code"),
+        F.col("sic.sic_description").alias("sic_description"),
     )
     if sic_map is None:
         return joined.withColumn("sector", sic_division("sic_code")).withColumnRenamed(

@@ -13,9 +13,15 @@ SECTOR_YEAR = ("sector", "fiscal_year")
 
 
 def _one_row_per_company(companies: DataFrame) -> DataFrame:
-    """Attributes per company id; a repeated id keeps one row, always the same."""
-    first = F.min(F.struct("company_name", "ticker", "sector", "industry")).alias("c")
-    return companies.groupBy("cik").agg(first).select("cik", "c.*")
+    """Attributes per company id; a repeated id keeps one row, always the same.
+
+    Rows with a sector, ticker and industry go before rows without; then the
+    least values decide.
+    """
+    names = ("company_name", "ticker", "sector", "industry")
+    missing = [F.col(c).isNull().alias(f"no_{c}") for c in ("sector", "ticker", "industry", "company_name")]
+    first = F.min(F.struct(*missing, *names)).alias("c")
+    return companies.groupBy("cik").agg(first).select("cik", *[f"c.{name}" for name in names])
 
 
 def _recency() -> Column:
@@ -24,9 +30,10 @@ def _recency() -> Column:
     Facts hold one row per (company, concept, period end, fiscal year, period),
     so within a company, concept and period no two rows share this number. A
     plain number lets the aggregation stay in the generated hash path, which a
-    struct key would leave. A missing date ranks lowest.
+    struct key would leave. A missing date ranks lowest; it is far below any
+    date, yet both parts together stay inside a long.
     """
-    lowest = F.lit(-(1 << 31)).cast("long")
+    lowest = F.lit(-(1 << 30)).cast("long")
 
     def days(name: str) -> Column:
         return F.coalesce(F.unix_date(name).cast("long"), lowest)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ledgerstrata.operators import bronze, dimensions, facts, gold, quality
 from ledgerstrata.sinks.tables import refresh_view, save, touched_years
+from ledgerstrata.sources.documents import CORRUPT, rejected_documents
 from ledgerstrata.sources.tables import read_table
 
 # Ratios and the time series read the metrics, peers read the ratios.
@@ -30,10 +31,22 @@ def _together(spark: SparkSession, *writes: Callable[[], object]) -> None:
 
 
 def build_bronze(spark: SparkSession, documents: DataFrame, root: str, **options) -> dict[str, int]:
-    """Write both bronze tables; returns row and passed counts observed on the way."""
+    """Write both bronze tables; returns row and passed counts observed on the way.
+
+    The documents are read, unzipped and parsed once: they land as Parquet under
+    ``{root}/landing/documents``, from where both tables and the rejected
+    documents (``{root}/bronze/rejected_documents``) are taken.
+    """
+    landed = f"{root}/landing/documents"
+    documents.write.mode("overwrite").parquet(landed)
+    documents = spark.read.schema(documents.schema).parquet(landed)
     observation = Observation("bronze_quality")
     rows = bronze.observe_quality(bronze.extract_financials(documents, **options), observation)
     companies = bronze.extract_companies(documents)
+    if CORRUPT in documents.columns:
+        rejected_documents(documents).write.mode("overwrite").parquet(
+            f"{root}/bronze/rejected_documents"
+        )
     _together(
         spark,
         lambda: save(rows, root, "raw_financials"),

@@ -1,9 +1,13 @@
 from ledgerstrata.sources.archive import list_members, read_archive
 from ledgerstrata.sources.documents import (
+    CORRUPT,
+    count_documents,
     parse_documents,
     parse_submissions,
     read_documents,
     read_submissions,
+    rejected_documents,
+    valid_documents,
 )
 from ledgerstrata.sources.layout import (
     bulk_path,
@@ -16,7 +20,9 @@ from ledgerstrata.sources.layout import (
 from ledgerstrata.sources.tables import read_table
 
 __all__ = [
+    "CORRUPT",
     "bulk_path",
+    "count_documents",
     "daily_index_path",
     "filings_path",
     "layout_columns",
@@ -28,5 +34,7 @@ __all__ = [
     "read_documents",
     "read_submissions",
     "read_table",
+    "rejected_documents",
+    "valid_documents",
     "with_layout",
 ]

@@ -5,26 +5,88 @@ compressed, so the work splits by member: a first pass reads only the member
 tables and cuts them into chunks of bounded size, the chunks are spread over
 the cluster, and each task then seeks to its own members. Neither the listing
 nor the content passes through the driver.
+
+An empty archive has no members. An archive or member that cannot be read gives
+a row without a document and with the reason in ``error``; it never stops the
+others. Failures of the storage itself still fail the task, which is retried.
 """
 
 from __future__ import annotations
 
+import io
+import sys
+import zipfile
+import zlib
+from contextlib import contextmanager
+from math import ceil
+
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_SCHEMA = "archive string, first_member int, members int, chunk_bytes long"
-MEMBER_SCHEMA = "archive string, member string, doc_json string"
+# Workers get the helpers of this module with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+CHUNK_SCHEMA = (
+    "archive string, first_member int, members int, chunk_bytes long, error string"
+)
+MEMBER_SCHEMA = "archive string, member string, doc_json string, error string"
+DAMAGE = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, UnicodeDecodeError)
+# Plain bytes per byte of zipped JSON, to size tasks from the size of the archives.
+EXPANSION = 8
+
+
+class _Seekable(io.RawIOBase):
+    """A file of the storage layer that refuses wrong offsets as a plain file does."""
+
+    def __init__(self, file):
+        self._file = file
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self._file.tell()
+
+    def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
+        start = {io.SEEK_SET: 0, io.SEEK_CUR: self._file.tell(), io.SEEK_END: self._file.size()}[whence]
+        if start + offset < 0:
+            raise OSError(22, "negative seek position")
+        self._file.seek(start + offset)
+        return start + offset
+
+    def readinto(self, buffer) -> int:
+        data = self._file.read(len(buffer))
+        buffer[: len(data)] = data
+        return len(data)
+
+
+@contextmanager
+def _opened(archive: str):
+    from pyarrow import fs
+
+    filesystem, name = fs.FileSystem.from_uri(archive)
+    with filesystem.open_input_file(name) as raw:
+        with zipfile.ZipFile(io.BufferedReader(_Seekable(raw), 1 << 20)) as opened:
+            yield opened
+
+
+def _reason(error: Exception) -> str:
+    return f"{type(error).__name__}: {error}"
 
 
 def _archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    # Only the path is selected, so the file content is never loaded here.
+    # Only path and length are selected, so the file content is never loaded here.
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.zip")
         .option("recursiveFileLookup", True)
         .load(path)
     )
-    return files.select(F.col("path").alias("archive"))
+    return files.select(F.col("path").alias("archive"), "length")
 
 
 def list_members(
@@ -36,34 +98,34 @@ def list_members(
 ) -> DataFrame:
     """Chunks of consecutive members, each up to ``chunk_bytes`` of plain text.
 
-    A member larger than the limit gets a chunk of its own.
+    A member larger than the limit gets a chunk of its own. A damaged archive is
+    one row without members and with an ``error``.
     """
 
     def chunks(batches):
-        import zipfile
-
         import pandas as pd
-        from pyarrow import fs
 
         for batch in batches:
             for archive in batch["archive"]:
-                filesystem, name = fs.FileSystem.from_uri(archive)
-                with filesystem.open_input_file(name) as raw, zipfile.ZipFile(raw) as archive_file:
-                    rows, first, count, size = [], 0, 0, 0
-                    for index, info in enumerate(archive_file.infolist()):
-                        wanted = info.file_size if info.filename.endswith(suffix) else 0
-                        if count and size + wanted > chunk_bytes:
-                            rows.append((archive, first, count, size))
-                            first, count, size = index, 0, 0
-                        count += 1
-                        size += wanted
-                    if count:
-                        rows.append((archive, first, count, size))
+                rows, first, count, size = [], 0, 0, 0
+                try:
+                    with _opened(archive) as opened:
+                        for index, info in enumerate(opened.infolist()):
+                            wanted = info.file_size if info.filename.endswith(suffix) else 0
+                            if count and size + wanted > chunk_bytes:
+                                rows.append((archive, first, count, size, None))
+                                first, count, size = index, 0, 0
+                            count += 1
+                            size += wanted
+                        if count:
+                            rows.append((archive, first, count, size, None))
+                except DAMAGE as error:
+                    rows = [(archive, 0, 0, 0, _reason(error))]
                 yield pd.DataFrame(
-                    rows, columns=["archive", "first_member", "members", "chunk_bytes"]
+                    rows, columns=["archive", "first_member", "members", "chunk_bytes", "error"]
                 )
 
-    return _archives(spark, path).mapInPandas(chunks, CHUNK_SCHEMA)
+    return _archives(spark, path).select("archive").mapInPandas(chunks, CHUNK_SCHEMA)
 
 
 def read_archive(
@@ -75,39 +137,53 @@ def read_archive(
     tasks: int | None = None,
     batch_bytes: int = 16 << 20,
 ) -> DataFrame:
-    """``(archive, member, doc_json)`` for every member ending in ``suffix``.
+    """``(archive, member, doc_json, error)`` for every member ending in ``suffix``.
 
-    ``tasks`` is the number of reading tasks. It is fixed rather than left to
-    adaptive coalescing, which would see the tiny chunk rows and not the
-    archive bytes behind them.
+    There is about one task per ``chunk_bytes`` of plain text, judged by the size
+    of the archives as listed; adaptive coalescing would see the tiny chunk rows
+    and not the bytes behind them. ``tasks`` overrides that.
     """
-    tasks = tasks or max(2 * spark.sparkContext.defaultParallelism, 8)
+    if tasks is None:
+        stored = _archives(spark, path).agg(F.sum("length")).first()[0] or 0
+        tasks = max(1, ceil(stored * EXPANSION / chunk_bytes))
     chunks = list_members(spark, path, suffix=suffix, chunk_bytes=chunk_bytes)
 
-    def read(batches):
-        import zipfile
+    def members(archive, wanted):
+        """``(name, text, error)`` of the wanted members."""
+        try:
+            with _opened(archive) as opened:
+                infos = opened.infolist()
+                for first, count in wanted:
+                    for info in infos[first : first + count]:
+                        if not info.filename.endswith(suffix):
+                            continue
+                        try:
+                            yield info.filename, opened.read(info).decode("utf-8"), None
+                        except DAMAGE as error:
+                            yield info.filename, None, _reason(error)
+        except DAMAGE as error:
+            yield None, None, _reason(error)
 
+    def read(batches):
         import pandas as pd
-        from pyarrow import fs
 
-        columns = ["archive", "member", "doc_json"]
+        columns = ["archive", "member", "doc_json", "error"]
         for batch in batches:
-            for archive, wanted in batch.groupby("archive"):
-                filesystem, name = fs.FileSystem.from_uri(archive)
-                with filesystem.open_input_file(name) as raw, zipfile.ZipFile(raw) as archive_file:
-                    infos = archive_file.infolist()
-                    rows, size = [], 0
-                    for first, count in zip(wanted["first_member"], wanted["members"]):
-                        for info in infos[first : first + count]:
-                            if not info.filename.endswith(suffix):
-                                continue
-                            text = archive_file.read(info).decode("utf-8")
-                            rows.append((archive, info.filename, text))
-                            size += len(text)
-                            if size >= batch_bytes:
-                                yield pd.DataFrame(rows, columns=columns)
-                                rows, size = [], 0
-                    if rows:
+            damaged = batch[batch["error"].notna()]
+            if len(damaged):
+                yield pd.DataFrame(
+                    [(a, None, None, e) for a, e in zip(damaged["archive"], damaged["error"])],
+                    columns=columns,
+                )
+            for archive, part in batch[batch["members"] > 0].groupby("archive"):
+                rows, size = [], 0
+                for name, text, error in members(archive, zip(part["first_member"], part["members"])):
+                    rows.append((archive, name, text, error))
+                    size += len(text or "")
+                    if size >= batch_bytes:
                         yield pd.DataFrame(rows, columns=columns)
+                        rows, size = [], 0
+                if rows:
+                    yield pd.DataFrame(rows, columns=columns)
 
     return chunks.repartition(tasks).mapInPandas(read, MEMBER_SCHEMA)

@@ -337,12 +337,19 @@ _DOCS = """SELECT cik, company_name, CAST(count(DISTINCT concept) AS INTEGER) AS
 FROM reported GROUP BY cik, company_name"""
 _ORACLE["a1_read_documents"] = _DOCS
 _ORACLE["a2_read_archive"] = _DOCS
-_ORACLE["a2_archive_members"] = "SELECT count(DISTINCT cik) AS members FROM reported"
+# Every seventh document comes again, cut off; of the archives one is damaged as a whole.
+_BROKEN = "count(DISTINCT CASE WHEN CAST(cik AS BIGINT) % 7 = 3 THEN cik END)"
+_ORACLE["a2_archive_members"] = f"SELECT count(DISTINCT cik) + {_BROKEN} AS members FROM reported"
+_ORACLE["a1_rejected_documents"] = f"""SELECT count(DISTINCT cik) + {_BROKEN} AS documents,
+  count(DISTINCT cik) AS with_id, {_BROKEN} AS rejected FROM reported"""
+_ORACLE["a2_rejected_members"] = f"""SELECT count(DISTINCT cik) + {_BROKEN} + 1 AS documents,
+  count(DISTINCT cik) AS with_id, {_BROKEN} + 1 AS rejected FROM reported"""
 _ORACLE["a3_flatten_facts"] = "SELECT * FROM reported"
 _ORACLE["a4_company_info"] = """SELECT cik, lpad(cik, 10, '0') AS cik_padded, company_name, ticker, exchange
 FROM company WHERE cik IN (SELECT cik FROM reported)"""
 _ORACLE["a4_submission_info"] = (
-    "SELECT lpad(cik, 10, '0') AS cik, sic_code, ticker, exchange FROM company"
+    "SELECT lpad(cik, 10, '0') AS cik, sic_code, ticker, exchange FROM company "
+    "UNION ALL SELECT lpad(cik, 10, '0'), NULL, NULL, NULL FROM company WHERE CAST(cik AS BIGINT) % 4 = 1"
 )
 _ORACLE["a5_table_scan"] = """SELECT cik, fiscal_period, end_date, value FROM facts
 WHERE fiscal_year = 2023 AND concept = 'Assets'"""
@@ -503,7 +510,7 @@ QUALIFY row_number() OVER (PARTITION BY sector ORDER BY return_on_equity_pct DES
 _ORACLE["g3_weak_liquidity"] = """SELECT company_name, ticker, sector, fiscal_year, current_ratio, quick_ratio,
   cash_ratio, current_liabilities AS current_liabilities_usd FROM ratios
 WHERE fiscal_year >= 2020 AND current_ratio < 1.0
-ORDER BY current_ratio, fiscal_year DESC, cik LIMIT 100"""
+QUALIFY row_number() OVER (ORDER BY current_ratio, fiscal_year DESC, cik) <= 100"""
 _ORACLE["g4_revenue_cagr"] = f"""SELECT company_name, ticker, a AS revenue_2020, b AS revenue_2023,
   b - a AS revenue_growth_absolute, rate AS revenue_cagr_3yr_pct FROM (
   SELECT *, {rnd('pow(b / a, CAST(1 AS DOUBLE) / 3) - 1', 4)} * 100 AS rate FROM (

@@ -72,7 +72,18 @@ def _(ws):
 @query("a2_read_archive")
 def _(ws):
     members = sources.read_archive(ws.spark, ws.archives_folder())
-    return _document_shape(sources.parse_documents(members))
+    return _document_shape(sources.valid_documents(sources.parse_documents(members)))
+
+
+@query("a1_rejected_documents")
+def _(ws):
+    return sources.count_documents(ws.landed_documents())
+
+
+@query("a2_rejected_members")
+def _(ws):
+    members = sources.read_archive(ws.spark, ws.archives_folder())
+    return sources.count_documents(sources.parse_documents(members))
 
 
 @query("a2_archive_members")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerstrata.operators.bronze import extract_submission_info
 from ledgerstrata.plans import medallion
-from ledgerstrata.sources import read_documents, read_submissions, read_table
+from ledgerstrata.sources import read_documents, read_submissions, read_table, valid_documents
 from ledgerstrata.testbed import filings
 
 BULK_YEAR = 2024
@@ -58,16 +58,18 @@ class Workspace:
     def _land(self) -> None:
         company = filings.companies(self.spark, self.sf_dir)
         long = filings.reported_facts(self.spark, self.sf_dir)
-        docs = filings.nest_documents(long, company).select("doc_json")
+        docs = filings.with_broken_copies(filings.nest_documents(long, company)).select("doc_json")
         docs.write.mode("overwrite").text(self.facts_path)
         filings.nest_submissions(company).write.mode("overwrite").text(self.submissions_path)
 
     def _pack(self) -> None:
-        """The documents again as zip archives, one per input partition."""
+        """The documents again as zip archives, one per input partition that has any,
+        next to an archive without members and one that is cut off."""
         target = self.archive_path
 
         def pack(batches):
-            import json
+            import io
+            import re
             import uuid
             import zipfile
 
@@ -78,17 +80,28 @@ class Workspace:
             filesystem, folder = fs.FileSystem.from_uri(target)
             filesystem.create_dir(folder, recursive=True)
             partition = TaskContext.get().partitionId()
-            name, scratch = f"{folder}/docs-{partition:05d}.zip", f"{folder}/.{uuid.uuid4().hex}"
-            count = 0
-            with filesystem.open_output_stream(scratch) as raw:
-                with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as archive:
-                    for batch in batches:
-                        for text in batch["value"]:
-                            cik = int(json.loads(text)["cik"])
-                            archive.writestr(f"CIK{cik:010d}.json", text)
-                            count += 1
-            # A retried task replaces the archive of the lost one.
-            filesystem.move(scratch, name)
+
+            def put(name: str, data: bytes) -> None:
+                # A retried task replaces the archive of the lost one.
+                scratch = f"{folder}/.{uuid.uuid4().hex}"
+                with filesystem.open_output_stream(scratch) as out:
+                    out.write(data)
+                filesystem.move(scratch, f"{folder}/{name}")
+
+            count, buffer = 0, io.BytesIO()
+            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+                for batch in batches:
+                    for text in batch["value"]:
+                        cik = int(re.match(r'{"cik":(\d+)', text).group(1))
+                        archive.writestr(f"CIK{cik:010d}-{count}.json", text)
+                        count += 1
+            if partition == 0:
+                empty = io.BytesIO()
+                zipfile.ZipFile(empty, "w").close()
+                put("empty.zip", empty.getvalue())
+                put("damaged.zip", buffer.getvalue()[: buffer.tell() // 2])
+            if count:
+                put(f"docs-{partition:05d}.zip", buffer.getvalue())
             yield pd.DataFrame({"members": [count]})
 
         lines = self.spark.read.text(self.documents_folder())
@@ -102,9 +115,13 @@ class Workspace:
         self._once("archives", self._pack)
         return self.archive_path
 
-    def documents(self) -> DataFrame:
+    def landed_documents(self) -> DataFrame:
+        """All documents, with those that cannot be parsed."""
         return read_documents(self.spark, self.documents_folder())
 
+    def documents(self) -> DataFrame:
+        return valid_documents(self.landed_documents())
+
     def submissions(self) -> DataFrame:
         self._once("landing", self._land)
         return read_submissions(self.spark, self.submissions_path)
@@ -112,7 +129,7 @@ class Workspace:
     # --- layers ------------------------------------------------------------
 
     def _bronze(self) -> None:
-        medallion.build_bronze(self.spark, self.documents(), self.root)
+        medallion.build_bronze(self.spark, self.landed_documents(), self.root)
 
     def _silver(self) -> None:
         self._once("bronze", self._bronze)

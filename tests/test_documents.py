@@ -256,3 +256,44 @@ def test_layers_lie_under_the_checkpoint_folder(spark, scratch):
     assert shared_root(Session("local[2]", None)).startswith("/")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_root(Session("spark://host", None))
+
+
+def test_damaged_archives_are_reported_not_fatal(spark, scratch):
+    good = json.dumps(document(7, assets(fact())))
+    zipfile.ZipFile(f"{scratch}/empty.zip", "w").close()
+    with zipfile.ZipFile(f"{scratch}/one.zip", "w") as archive:
+        archive.writestr("a.json", good)
+    with zipfile.ZipFile(f"{scratch}/text.zip", "w") as archive:
+        archive.writestr("latin.json", b'{"cik": 8, "entityName": "\xe9"}')
+        archive.writestr("cut.json", good[: len(good) // 2])
+        archive.writestr("b.json", json.dumps(document(9)))
+    whole = Path(f"{scratch}/one.zip").read_bytes()
+    Path(f"{scratch}/cut.zip").write_bytes(whole[: len(whole) // 2])
+    Path(f"{scratch}/tiny.zip").write_bytes(b"PK")
+    for tasks in (None, 1, 7):
+        members = sources.read_archive(spark, scratch, tasks=tasks)
+        docs = sources.parse_documents(members)
+        assert sorted(r.cik for r in sources.valid_documents(docs).collect()) == ["7", "9"]
+        counts = sources.count_documents(docs).first()
+        # Two archives and two members; an empty archive is nothing to report.
+        assert (counts.documents, counts.with_id, counts.rejected) == (6, 2, 4)
+    reasons = {r.member: r.error for r in members.where("error IS NOT NULL").collect()}
+    assert "UnicodeDecodeError" in reasons["latin.json"] and "BadZipFile" in reasons[None]
+    listed = sources.list_members(spark, scratch).collect()
+    assert sorted(r.members for r in listed) == [0, 0, 1, 3]
+
+
+def test_broken_documents_are_counted_and_kept_out(spark, scratch):
+    from ledgerstrata.plans import medallion
+    from ledgerstrata.sources import read_table
+
+    path = Path(scratch) / "docs.json"
+    text = json.dumps(document(7, assets(fact())))
+    path.write_text("\n".join([text, text[:40], json.dumps(document(8))]))
+    docs = sources.read_documents(spark, str(path))
+    counts = sources.count_documents(docs).first()
+    assert (counts.documents, counts.with_id, counts.rejected) == (3, 2, 1)
+    medallion.build_bronze(spark, docs, f"{scratch}/lake")
+    assert sorted(r.cik for r in read_table(spark, f"{scratch}/lake", "raw_companies").collect()) == ["7", "8"]
+    rejected = spark.read.parquet(f"{scratch}/lake/bronze/rejected_documents").collect()
+    assert [r.corrupt_document for r in rejected] == [text[:40]]
