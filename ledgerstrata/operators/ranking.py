@@ -1,21 +1,21 @@
 """Exact ranks and quantiles inside groups of any size.
 
-A window ordered over a whole group sorts that group in one task. That is the
-fastest way while groups are small, so the largest group is counted first (one
-aggregation, one number to the driver) and windows are used up to
-``WINDOW_ROWS`` rows. Beyond that a group is cut into value ranges:
+A window ordered over a whole group would sort that group in one task. Instead
+every group is cut into value ranges, however large it is, in one plan that needs
+no job beforehand:
 
-1. a few rows per group, chosen by a hash of their key, give cut values;
+1. one row in ``SLOT_ROWS``, chosen by a hash of its key, gives a cut value, so
+   the number of cuts follows the rows; a group below that size has hardly any;
 2. every row gets a slot: *between* two cuts, or *on* a cut. All rows on a cut
-   share one value, so they need no order and are spread over salts;
+   share one value, so they need no order and are spread over salts, as many as
+   the value was chosen times;
 3. one small aggregation counts rows per slot, and a running sum over the slots
    gives the number of rows before each;
 4. ``rank()`` inside a slot plus that offset is the rank in the group.
 
 The cuts only decide how evenly the work is spread. The ranks are exact for any
 choice, and because the choice is a function of the data a lost task recomputes
-the same slots. A value held by a large share of the rows is almost surely a
-cut and so is spread as well.
+the same slots. A value held by many rows is almost surely a cut, and so spread.
 """
 
 from __future__ import annotations
@@ -26,23 +26,35 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-WINDOW_ROWS = 1_000_000
-CUTS = 64
-SALTS = 64
-
-
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Rows of the largest group."""
-    sizes = df.groupBy(*group).agg(F.count("*").alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+SLOT_ROWS = 1 << 16
+# Rows without a value are never cuts; they share one rank and are spread over these.
+NULL_SALTS = 64
 
 
 def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
 
 
+def _cuts_below(cuts: Column, value: Column) -> Column:
+    """How many of the sorted ``cuts`` are smaller than ``value``, by halving."""
+    size = F.size(cuts)
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(size + 1)).cast("int"))
+
+    def halve(state: Column, _) -> Column:
+        middle = F.shiftright(state["low"] + state["high"], 1)
+        smaller = F.get(cuts, middle)["value"] < value
+        more = state["low"] < state["high"]
+        return F.struct(
+            F.when(more & smaller, middle + 1).otherwise(state["low"]).alias("low"),
+            F.when(more & ~smaller, middle).otherwise(state["high"]).alias("high"),
+        )
+
+    start = F.struct(F.lit(0).alias("low"), size.alias("high"))
+    return F.when(size > 0, F.aggregate(steps, start, halve)["low"]).otherwise(0)
+
+
 def rows_below(
-    df: DataFrame, group: Sequence[str], value: str, key: Sequence[str], cuts: int = CUTS
+    df: DataFrame, group: Sequence[str], value: str, key: Sequence[str], slot_rows: int = SLOT_ROWS
 ) -> DataFrame:
     """Append ``below`` (rows of the group with a smaller value, NULL smallest)
     and ``group_rows``, ``group_nulls``.
@@ -53,54 +65,68 @@ def rows_below(
     group, key = list(group), list(key)
     token = F.xxhash64(*key)
 
-    # 1. Cut values. The limit is applied per task before the shuffle.
-    pick = Window.partitionBy(*group).orderBy("_token", value)
+    # 1. Cut values and how often each was chosen.
+    chosen = df.where(F.col(value).isNotNull() & (F.pmod(token, F.lit(slot_rows)) == 0))
     cut_table = (
-        df.where(F.col(value).isNotNull())
-        .select(*group, value, token.alias("_token"))
-        .withColumn("_n", F.row_number().over(pick))
-        .where(F.col("_n") <= cuts)
+        chosen.groupBy(*group, value)
+        .agg(F.count("*").alias("_chosen"))
         .groupBy(*group)
-        .agg(F.array_sort(F.collect_set(value)).alias("_cuts"))
+        .agg(
+            F.array_sort(
+                F.collect_list(F.struct(F.col(value).alias("value"), F.col("_chosen").alias("times")))
+            ).alias("_cuts")
+        )
     )
 
     # 2. Slots: -1 for NULL, 2i between cuts, 2i+1 on a cut.
     left = df.select("*", token.alias("_token"))
-    joined = left.join(cut_table, _same(left, cut_table, group), "left").select(
-        *[left[c] for c in left.columns], cut_table["_cuts"]
+    cuts = F.coalesce("_cuts", F.array().cast(cut_table.schema["_cuts"].dataType))
+    placed = (
+        left.join(cut_table, _same(left, cut_table, group), "left")
+        .select(*[left[c] for c in left.columns], cuts.alias("_cuts"))
+        .withColumn("_position", _cuts_below(F.col("_cuts"), F.col(value)))
+        .withColumn("_cut", F.get("_cuts", F.col("_position")))
+        .withColumn("_on", F.coalesce(F.col("_cut.value") == F.col(value), F.lit(False)))
     )
-    position = F.size(F.filter("_cuts", lambda c: c < F.col(value)))
-    on_cut = F.array_contains("_cuts", F.col(value))
+    spread = F.when(F.col("_on"), F.col("_cut.times")).otherwise(F.lit(1))
     slot = F.when(F.col(value).isNull(), F.lit(-1)).otherwise(
-        position * F.lit(2) + on_cut.cast("int")
+        F.col("_position") * 2 + F.col("_on").cast("int")
+    )
+    slotted = placed.select(
+        *df.columns,
+        slot.alias("_slot"),
+        spread.alias("_spread"),
+        # Rows without a value share one rank, as rows on a cut do.
+        F.when(F.col(value).isNull(), F.pmod("_token", F.lit(NULL_SALTS)))
+        .when(F.col("_on"), F.pmod(F.shiftright("_token", 20), spread))
+        .otherwise(F.lit(0))
+        .alias("_salt"),
     )
-    slotted = joined.withColumn("_slot", slot).drop("_cuts")
 
-    # 3. Rows before each slot; at most 2 * cuts + 2 rows per group here.
+    # 3. Rows before each slot, once per salt.
     ordered = Window.partitionBy(*group).orderBy("_slot")
     whole = Window.partitionBy(*group)
+    salts = F.when(F.col("_slot") == -1, F.lit(NULL_SALTS)).otherwise(F.col("_spread"))
     offsets = (
         slotted.groupBy(*group, "_slot")
-        .agg(F.count("*").alias("_rows"))
+        .agg(F.count("*").alias("_rows"), F.max("_spread").alias("_spread"))
         .select(
             *group,
             "_slot",
+            salts.alias("_salts"),
             (F.sum("_rows").over(ordered) - F.col("_rows")).alias("_before"),
             F.sum("_rows").over(whole).alias("group_rows"),
             F.sum(F.when(F.col("_slot") == -1, F.col("_rows")).otherwise(0))
             .over(whole)
             .alias("group_nulls"),
         )
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)))
     )
 
-    # 4. Rank inside the slot. Odd slots hold one value each: any salt will do.
-    single = (F.col("_slot") % 2) != 0
-    salted = slotted.withColumn(
-        "_salt", F.when(single, F.pmod("_token", F.lit(SALTS))).otherwise(F.lit(0))
-    )
+    # 4. Rank inside the slot.
     inside = Window.partitionBy(*group, "_slot", "_salt").orderBy(value)
-    local = salted.withColumn("_local", F.rank().over(inside) - F.lit(1))
-    on = _same(local, offsets, [*group, "_slot"])
+    local = slotted.withColumn("_local", F.rank().over(inside) - F.lit(1))
+    on = _same(local, offsets, [*group, "_slot", "_salt"])
     return local.join(offsets, on).select(
         *[local[c] for c in df.columns],
         (F.col("_before") + F.col("_local")).alias("below"),
@@ -114,31 +140,19 @@ def percent_ranks(
     group: Sequence[str],
     key: Sequence[str],
     metrics: dict[str, str],
-    window_rows: int = WINDOW_ROWS,
-    cuts: int = CUTS,
+    slot_rows: int = SLOT_ROWS,
 ) -> DataFrame:
     """``PERCENT_RANK() * 100`` of several metrics within the same groups, NULL lowest.
 
     ``metrics`` maps an output column to its source column. Returns ``group``,
-    ``key`` and the output columns, one row per key. In groups beyond
-    ``window_rows`` all metrics share one pass over a long (row, metric, value)
-    form.
+    ``key`` and the output columns, one row per key. All metrics share one pass
+    over a long (row, metric, value) form.
     """
     ids = list(dict.fromkeys([*group, *key]))
-    if largest_group(df, group) <= window_rows:
-        whole = Window.partitionBy(*group)
-        return df.select(
-            *ids,
-            *[
-                (F.percent_rank().over(whole.orderBy(F.asc_nulls_first(source))) * 100).alias(out)
-                for out, source in metrics.items()
-            ],
-        )
-
     long = df.select(*ids, *metrics.values()).unpivot(
         ids, list(metrics.values()), "_metric", "_value"
     )
-    ranked = rows_below(long, [*group, "_metric"], "_value", key, cuts)
+    ranked = rows_below(long, [*group, "_metric"], "_value", key, slot_rows)
     others = F.col("group_rows") - F.lit(1)
     share = F.when(others > 0, F.col("below").cast("double") / others).otherwise(F.lit(0.0))
     ranked = ranked.withColumn("_share", share * F.lit(100))
@@ -156,30 +170,22 @@ def group_quantiles(
     value: str,
     key: Sequence[str],
     probabilities: dict[str, float],
-    window_rows: int = WINDOW_ROWS,
-    cuts: int = CUTS,
+    slot_rows: int = SLOT_ROWS,
 ) -> DataFrame:
     """Exact interpolated quantiles of the non-NULL values, one row per group.
 
-    Up to ``window_rows`` rows a group's distinct values fit one aggregation
-    buffer. Beyond, values are ranked: the i-th smallest is the largest one with
-    at most i values below it, so once ``below`` is known every quantile is a
-    plain maximum.
+    The i-th smallest value is the largest one with at most i values below it,
+    so once ``below`` is known every quantile is a plain maximum. Between two
+    values the weights are those of the built-in exact percentile.
     """
-    present = df.where(F.col(value).isNotNull())
-    if largest_group(present, group) <= window_rows:
-        points = F.array(*[F.lit(float(p)) for p in probabilities.values()])
-        return present.groupBy(*group).agg(F.percentile(value, points).alias("_q")).select(
-            *group, *[F.col("_q")[i].alias(name) for i, name in enumerate(probabilities)]
-        )
-
-    present = rows_below(present, group, value, key, cuts)
+    present = rows_below(df.where(F.col(value).isNotNull()), group, value, key, slot_rows)
     last = F.col("group_rows") - F.lit(1)
     aggregates = []
     for name, p in probabilities.items():
         at = last * F.lit(float(p))
         low = F.max(F.when(F.col("below") <= F.floor(at), F.col(value)))
         high = F.max(F.when(F.col("below") <= F.ceil(at), F.col(value)))
-        weight = F.max(at - F.floor(at))
-        aggregates.append((low + (high - low) * weight).alias(name))
+        to_low, to_high = F.max(F.ceil(at) - at), F.max(at - F.floor(at))
+        between = to_low * low + to_high * high
+        aggregates.append(F.when(low == high, low).otherwise(between).alias(name))
     return present.groupBy(*group).agg(*aggregates)

@@ -10,12 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerstrata.operators.ranking import (
-    group_quantiles,
-    largest_group,
-    percent_ranks,
-    rows_below,
-)
+from ledgerstrata.operators.ranking import group_quantiles, percent_ranks, rows_below
 
 
 def reference(df):
@@ -42,8 +37,8 @@ values = st.one_of(st.none(), st.integers(-3, 3).map(float), st.floats(-1e6, 1e6
 @given(st.lists(st.tuples(st.sampled_from("ab"), values), min_size=1, max_size=60))
 def test_percent_rank_matches_window(spark, rows):
     df = frame(spark, rows)
-    split = percent_ranks(df, ["g"], ["k"], {"p": "v"}, window_rows=0, cuts=3)
-    assert same(split, reference(df))
+    for slot_rows in (1, 4):
+        assert same(percent_ranks(df, ["g"], ["k"], {"p": "v"}, slot_rows=slot_rows), reference(df))
     assert same(percent_ranks(df, ["g"], ["k"], {"p": "v"}), reference(df))
 
 
@@ -57,7 +52,7 @@ def test_hot_group_hot_value(spark, threshold):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        out = percent_ranks(df, ["g"], ["k"], {"p": "v"}, window_rows=1000)
+        out = percent_ranks(df, ["g"], ["k"], {"p": "v"}, slot_rows=100)
         assert "_slot" in plan(out)
         assert same(out, reference(df))
         # The ordered window runs per slot and salt, never per group.
@@ -72,12 +67,20 @@ def test_hot_group_hot_value(spark, threshold):
 
 def test_slots_spread_a_hot_group(spark):
     df = frame(spark, [("hot", float(i)) for i in range(20_000)])
-    out = rows_below(df, ["g"], "v", ["k"])
+    out = rows_below(df, ["g"], "v", ["k"], slot_rows=200)
     assert out.where("below <> v").count() == 0  # values are their own ranks
-    cut = Window.partitionBy("g").orderBy(F.xxhash64("k"))
-    cuts = sorted(r.v for r in df.withColumn("n", F.row_number().over(cut)).where("n <= 64").collect())
-    largest = max(np.diff([0.0, *cuts, 20_000.0]))
-    assert largest < 20_000 / 6
+    cuts = sorted(r.v for r in df.where(F.pmod(F.xxhash64("k"), F.lit(200)) == 0).collect())
+    assert 50 < len(cuts) < 200
+    assert max(np.diff([0.0, *cuts, 20_000.0])) < 20_000 / 10
+
+
+def test_cuts_grow_with_the_group(spark):
+    """Ten times the rows are ten times the slots, so a task's share stays the same."""
+    counts = []
+    for n in (2_000, 20_000):
+        df = frame(spark, [("hot", float(i)) for i in range(n)])
+        counts.append(df.where(F.pmod(F.xxhash64("k"), F.lit(100)) == 0).count())
+    assert 6 < counts[1] / counts[0] < 16
 
 
 def test_quantiles_match_numpy(spark):
@@ -89,17 +92,25 @@ def test_quantiles_match_numpy(spark):
     }
     df = frame(spark, [(g, v) for g, vs in data.items() for v in [*vs, None]])
     probabilities = {"q0": 0.0, "q25": 0.25, "q50": 0.5, "q90": 0.9, "q100": 1.0}
-    for limit in (0, 10_000):
-        out = group_quantiles(df, ["g"], "v", ["k"], probabilities, window_rows=limit, cuts=7)
-        assert ("_slot" in plan(out)) == (limit == 0)
+    exact = df.groupBy("g").agg(
+        F.percentile("v", F.array(*[F.lit(p) for p in probabilities.values()])).alias("q")
+    )
+    want = {row.g: row.q for row in exact.collect()}
+    for slot_rows in (3, 1 << 16):
+        out = group_quantiles(df, ["g"], "v", ["k"], probabilities, slot_rows=slot_rows)
         for row in out.collect():
+            # To the last bit, whatever the cuts.
+            assert [row[name] for name in probabilities] == want[row.g]
             for name, p in probabilities.items():
                 assert row[name] == pytest.approx(np.quantile(data[row.g], p), abs=1e-9)
 
 
-def test_largest_group_decides(spark):
+def test_building_a_plan_runs_nothing(spark):
     df = frame(spark, [("a", 1.0)] * 5 + [("b", 2.0)] * 3)
-    assert largest_group(df, ["g"]) == 5
-    assert largest_group(df.where("false"), ["g"]) == 0
-    assert "_slot" not in plan(percent_ranks(df, ["g"], ["k"], {"p": "v"}, window_rows=5))
-    assert "_slot" in plan(percent_ranks(df, ["g"], ["k"], {"p": "v"}, window_rows=4))
+    spark.sparkContext.setJobGroup("plan-only", "no job may start")
+    try:
+        percent_ranks(df, ["g"], ["k"], {"p": "v"}).schema
+        group_quantiles(df, ["g"], "v", ["k"], {"m": 0.5}).schema
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("plan-only")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
