@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerstrata.functions import concept_label, sic_division
@@ -88,33 +88,41 @@ def build_dim_companies(
     )
 
 
-def taxonomy_base(financials: DataFrame) -> DataFrame:
-    return (
-        financials.select("concept", "statement_type")
-        .distinct()
-        .withColumns(
-            {
-                "concept_label": concept_label("concept"),
-                "data_type": F.lit("monetary"),
-                "period_type": F.lit("duration"),
-                "balance_type": F.lit(None).cast("string"),
-            }
-        )
+def _described(concepts: DataFrame) -> DataFrame:
+    return concepts.withColumns(
+        {
+            "concept_label": concept_label("concept"),
+            "data_type": F.lit("monetary"),
+            "period_type": F.lit("duration"),
+            "balance_type": F.lit(None).cast("string"),
+        }
     )
 
 
-def concept_usage(financials: DataFrame) -> DataFrame:
-    """Companies, rows and year range per concept."""
-    return financials.groupBy("concept").agg(
+def taxonomy_base(financials: DataFrame) -> DataFrame:
+    return _described(financials.select("concept", "statement_type").distinct())
+
+
+def _usage() -> list[Column]:
+    return [
         F.count_distinct("cik").alias("companies_using"),
         F.count("*").alias("total_usage_count"),
         F.min("fiscal_year").alias("first_used_year"),
         F.max("fiscal_year").alias("last_used_year"),
-    )
+    ]
+
+
+def concept_usage(financials: DataFrame) -> DataFrame:
+    """Companies, rows and year range per concept."""
+    return financials.groupBy("concept").agg(*_usage())
 
 
 def build_dim_taxonomy(financials: DataFrame) -> DataFrame:
-    return taxonomy_base(financials).join(concept_usage(financials), "concept", "left")
+    """Base and usage in one pass: the statement type follows from the concept."""
+    usage = financials.groupBy("concept", "statement_type").agg(*_usage())
+    base = _described(usage.select("concept", "statement_type")).columns
+    counts = [c for c in usage.columns if c not in ("concept", "statement_type")]
+    return _described(usage).select(*base, *counts)
 
 
 def build_dim_dates(financials: DataFrame) -> DataFrame:

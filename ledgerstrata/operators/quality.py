@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,23 +72,28 @@ def unique_key(name: str, column: str) -> Check:
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """One row per check: (check_name, passed, observed, threshold, error).
 
-    All checks of a table share one scan. A check that cannot be analysed on
-    this table (say, for a missing column) is reported as failed.
+    The checks run here, all of a table in one scan. If that scan fails, every
+    check runs alone, so one that cannot be analysed on this table (say, for a
+    missing column) or that fails while it runs is one failed row and the others
+    still report. There is one row per check, so bringing them here is bounded.
     """
-    runnable, broken = [], []
-    for check in checks:
+
+    def results(some: Sequence[Check]) -> list:
+        folded = df.agg(F.array(*[c.columns() for c in some]).alias("results"))
+        return [tuple(row) for row in folded.select(F.inline("results")).collect()]
+
+    rows = []
+    if checks:
         try:
-            df.agg(check.columns().alias("r")).schema  # analysis only, no job
-            runnable.append(check)
-        except PySparkException as error:
-            broken.append((check.name, False, None, float(check.threshold), str(error).split("\n")[0]))
-    parts = []
-    if runnable:
-        folded = df.agg(F.array(*[c.columns() for c in runnable]).alias("results"))
-        parts.append(folded.select(F.inline("results")))
-    if broken:
-        parts.append(df.sparkSession.createDataFrame(broken, RESULT))
-    return reduce(DataFrame.unionByName, parts)
+            rows = results(checks)
+        except (PySparkException, Py4JJavaError):
+            for check in checks:
+                try:
+                    rows += results([check])
+                except (PySparkException, Py4JJavaError) as error:
+                    reason = str(error).strip().split("\n")[0]
+                    rows.append((check.name, False, None, float(check.threshold), reason))
+    return df.sparkSession.createDataFrame(rows, RESULT)
 
 
 def warehouse_checks(

@@ -97,18 +97,24 @@ def with_annual_growth(ratios: DataFrame, name: str = "revenue_growth_pct") -> D
 def executive_scorecards(metrics: DataFrame, series: DataFrame, ratios: DataFrame) -> DataFrame:
     """Companies, trailing revenue of the latest quarter, latest mean margin and
     the number of companies growing in the latest quarter. One row."""
-    quarters = _quarters(series)
-    now = quarters.agg(F.max(F.struct("fiscal_year", "fiscal_period"))).scalar()
-    latest = quarters.where(F.struct("fiscal_year", "fiscal_period") == now)
+    # The year on its own prunes directories; the period is then sought in that year.
+    in_year = _year(_quarters(series), None)
+    latest = in_year.where(F.col("fiscal_period") == in_year.agg(F.max("fiscal_period")).scalar())
     growing = F.when(F.col("revenue_yoy_growth_pct") > 0, F.col("cik"))
+    # Both figures of the quarter come from one aggregation.
+    quarter = latest.agg(
+        F.struct(
+            scaled(F.sum("ttm_revenue"), BILLION).alias("ttm"), F.count_distinct(growing).alias("growing")
+        )
+    ).scalar()
     return metrics.agg(F.count_distinct("cik").alias("total_companies")).select(
         "total_companies",
-        latest.agg(scaled(F.sum("ttm_revenue"), BILLION)).scalar().alias("ttm_revenue_billions"),
+        quarter["ttm"].alias("ttm_revenue_billions"),
         _year(ratios, None)
         .agg(F.round(F.avg("net_profit_margin_pct"), 2))
         .scalar()
         .alias("avg_profit_margin_pct"),
-        latest.agg(F.count_distinct(growing)).scalar().alias("positive_growth_companies"),
+        quarter["growing"].alias("positive_growth_companies"),
     )
 
 
@@ -188,13 +194,27 @@ def profitability_heatmap(ratios: DataFrame, year: int | None = None, digits: in
 
 
 def recent_filings(metrics: DataFrame, submissions: DataFrame, limit: int = 50) -> DataFrame:
-    """Newest filings with the figures of their period."""
+    """Newest filings with the figures of their period.
+
+    The filings of the newest two years that have figures give a date that
+    ``limit`` of them reach. Whatever is among the newest overall was filed then
+    or later, so older filings are left out before the tables are joined.
+    """
     keys = ["cik", "fiscal_year", "fiscal_period"]
     filed = submissions.where(F.col("filing_date").isNotNull()).select(
         *keys, "filing_date", "accession_number"
     )
+    newest_year = latest_year(metrics)
+    sample = (
+        filed.where(F.col("fiscal_year") >= newest_year - 1)
+        .join(metrics.where(F.col("fiscal_year") >= newest_year - 1).select(*keys), keys)
+        .orderBy(F.desc("filing_date"))
+        .limit(limit)
+    )
+    enough = F.when(F.count("*") >= limit, F.min("filing_date"))
+    bound = sample.agg(F.coalesce(enough, F.lit("0001-01-01").cast("date"))).scalar()
     return (
-        metrics.join(filed, keys)
+        metrics.join(filed.where(F.col("filing_date") >= bound), keys)
         .orderBy(F.desc("filing_date"), "cik", "accession_number")
         .limit(limit)
         .select(

@@ -1,4 +1,7 @@
-"""Point lookups: a ticker or sector and a year select directories and row groups."""
+"""Point lookups: a ticker or sector and a year select directories and row groups.
+
+``companies`` is the company dimension; with it a ticker is looked up by id.
+"""
 
 from __future__ import annotations
 
@@ -7,11 +10,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstrata.plans.ratios import ratios_for_tickers
+from ledgerstrata.sources.tables import with_tickers
 
 
-def company_profile(metrics: DataFrame, ticker: str = "AAPL", year: int = 2023) -> DataFrame:
-    return metrics.where((F.col("fiscal_year") == year) & (F.col("ticker") == ticker))
+def company_profile(
+    metrics: DataFrame, ticker: str = "AAPL", year: int = 2023, companies: DataFrame | None = None
+) -> DataFrame:
+    return with_tickers(metrics.where(F.col("fiscal_year") == year), [ticker], companies)
 
 
 def sector_listing(peers: DataFrame, sector: str = "Technology", year: int = 2023) -> DataFrame:
@@ -20,13 +25,18 @@ def sector_listing(peers: DataFrame, sector: str = "Technology", year: int = 202
     )
 
 
-def ticker_trend(series: DataFrame, ticker: str = "MSFT", since: int = 2020) -> DataFrame:
-    return series.where((F.col("fiscal_year") >= since) & (F.col("ticker") == ticker)).orderBy(
+def ticker_trend(
+    series: DataFrame, ticker: str = "MSFT", since: int = 2020, companies: DataFrame | None = None
+) -> DataFrame:
+    return with_tickers(series.where(F.col("fiscal_year") >= since), [ticker], companies).orderBy(
         "fiscal_year", "fiscal_period"
     )
 
 
 def ticker_ratios(
-    ratios: DataFrame, tickers: Sequence[str] = ("AAPL", "MSFT", "GOOGL"), year: int = 2023
+    ratios: DataFrame,
+    tickers: Sequence[str] = ("AAPL", "MSFT", "GOOGL"),
+    year: int = 2023,
+    companies: DataFrame | None = None,
 ) -> DataFrame:
-    return ratios_for_tickers(ratios, tickers, year)
+    return with_tickers(ratios.where(F.col("fiscal_year") == year), tickers, companies)

@@ -197,7 +197,3 @@ def sector_comparison(ratios: DataFrame, *, since: int = 2020, digits: int = 2)
         )
         .orderBy("sector", "fiscal_year")
     )
-
-
-def ratios_for_tickers(ratios: DataFrame, tickers: Sequence[str], year: int) -> DataFrame:
-    return ratios.where(F.col("ticker").isin(*tickers) & (F.col("fiscal_year") == year))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerstrata.functions import cagr_ratio, growth_pct, pct, scaled
 from ledgerstrata.schemas import QUARTERS
+from ledgerstrata.sources.tables import with_tickers
 
 MILLION = 1_000_000
 BILLION = 1_000_000_000
@@ -23,15 +24,16 @@ def _timeline():
 
 
 def growth_trend(
-    series: DataFrame, *, tickers: Sequence[str] = GROWTH_TICKERS, since: int = 2020
+    series: DataFrame,
+    *,
+    tickers: Sequence[str] = GROWTH_TICKERS,
+    since: int = 2020,
+    companies: DataFrame | None = None,
 ) -> DataFrame:
     """Quarterly revenue, trailing revenue and growth of a few companies, in millions."""
     return (
-        series.where(
-            F.col("ticker").isin(*tickers)
-            & (F.col("fiscal_year") >= since)
-            & (F.col("fiscal_period") != "FY")
-        )
+        with_tickers(series, tickers, companies)
+        .where((F.col("fiscal_year") >= since) & (F.col("fiscal_period") != "FY"))
         .orderBy("ticker", "fiscal_year", "fiscal_period")
         .select(
             "company_name",
@@ -171,15 +173,13 @@ def seasonality(
     tickers: Sequence[str] = SEASONAL_TICKERS,
     first: int = 2020,
     last: int = 2023,
+    companies: DataFrame | None = None,
 ) -> DataFrame:
     """Revenue spread per company and quarter over several years."""
     revenue = F.col("revenue")
     return (
-        series.where(
-            F.col("ticker").isin(*tickers)
-            & F.col("fiscal_year").between(first, last)
-            & F.col("fiscal_period").isin(*QUARTERS)
-        )
+        with_tickers(series, tickers, companies)
+        .where(F.col("fiscal_year").between(first, last) & F.col("fiscal_period").isin(*QUARTERS))
         .groupBy("company_name", "ticker", "fiscal_period")
         .agg(
             F.count("*").alias("years_analyzed"),

@@ -346,6 +346,6 @@ TABLES = {
     "fact_submissions": ("silver", FACT_SUBMISSIONS, "fiscal_year", ("cik", "filing_date")),
     "company_metrics": ("gold", COMPANY_METRICS, "fiscal_year", ("cik",)),
     "financial_ratios": ("gold", FINANCIAL_RATIOS, "fiscal_year", ("cik",)),
-    "peer_comparison": ("gold", PEER_COMPARISON, "fiscal_year", ("sector",)),
+    "peer_comparison": ("gold", PEER_COMPARISON, "fiscal_year", ("sector", "cik")),
     "timeseries": ("gold", TIMESERIES, "fiscal_year", ("cik",)),
 }

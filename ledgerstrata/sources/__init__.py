@@ -17,7 +17,7 @@ from ledgerstrata.sources.layout import (
     layout_glob,
     with_layout,
 )
-from ledgerstrata.sources.tables import read_table
+from ledgerstrata.sources.tables import read_table, with_tickers
 
 __all__ = [
     "CORRUPT",
@@ -37,4 +37,5 @@ __all__ = [
     "rejected_documents",
     "valid_documents",
     "with_layout",
+    "with_tickers",
 ]

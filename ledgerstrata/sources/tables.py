@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerstrata.schemas import TABLES
 
@@ -21,3 +25,17 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     schema = TABLES[name][1]
     stored = spark.read.schema(schema).parquet(table_path(root, name))
     return stored.select(*schema.fieldNames())
+
+
+def with_tickers(df: DataFrame, tickers: Sequence[str], companies: DataFrame | None = None) -> DataFrame:
+    """Rows of the companies with the given tickers.
+
+    Stored tables are clustered by company id, not by ticker. With the company
+    dimension at hand each ticker becomes an id through a scalar subquery, and a
+    lookup by id skips the row groups of all other companies.
+    """
+    wanted = F.col("ticker").isin(*tickers)
+    if companies is None:
+        return df.where(wanted)
+    ids = [companies.where(F.col("ticker") == t).agg(F.min("cik")).scalar() for t in tickers]
+    return df.where(wanted & reduce(lambda a, b: a | b, [F.col("cik") == one for one in ids]))

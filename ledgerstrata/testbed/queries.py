@@ -557,7 +557,7 @@ def _(ws):
 
 @query("i1_growth_trend")
 def _(ws):
-    return series.growth_trend(ws.table("timeseries"))
+    return series.growth_trend(ws.table("timeseries"), companies=ws.table("dim_companies"))
 
 
 @query("i2_accelerating_growth")
@@ -595,7 +595,7 @@ def _(ws):
 
 @query("i5_seasonality")
 def _(ws):
-    return series.seasonality(ws.table("timeseries"))
+    return series.seasonality(ws.table("timeseries"), companies=ws.table("dim_companies"))
 
 
 @query("i6_compound_growth")
@@ -655,6 +655,10 @@ def _(ws):
     return rounded(out.select("check_name", "passed", "observed", "threshold"), ["observed"])
 
 
+def _id(ws, ticker):
+    return dashboards.company_id(ws.table("dim_companies"), ticker)
+
+
 # --- K: dashboards -----------------------------------------------------------------------------------
 
 
@@ -719,22 +723,22 @@ def _(ws):
 
 @query("k10_income_statement")
 def _(ws):
-    return dashboards.statement_table(ws.table("company_metrics"), "income_statement", ticker="MSFT")
+    return dashboards.statement_table(ws.table("company_metrics"), "income_statement", cik=_id(ws, "MSFT"))
 
 
 @query("k10_balance_sheet")
 def _(ws):
-    return dashboards.statement_table(ws.table("company_metrics"), "balance_sheet", ticker="MSFT")
+    return dashboards.statement_table(ws.table("company_metrics"), "balance_sheet", cik=_id(ws, "MSFT"))
 
 
 @query("k10_cash_flow")
 def _(ws):
-    return dashboards.statement_table(ws.table("company_metrics"), "cash_flow", ticker="MSFT")
+    return dashboards.statement_table(ws.table("company_metrics"), "cash_flow", cik=_id(ws, "MSFT"))
 
 
 @query("k11_ratio_cards")
 def _(ws):
-    return dashboards.ratio_cards(ws.table("financial_ratios"), 2023, ticker="MSFT")
+    return dashboards.ratio_cards(ws.table("financial_ratios"), 2023, cik=_id(ws, "MSFT"))
 
 
 @query("k12_quarterly_trends")
@@ -750,7 +754,7 @@ def _(ws):
 
 @query("k14_peer_table")
 def _(ws):
-    return dashboards.peer_table(ws.table("peer_comparison"), 2023, ticker="MSFT")
+    return dashboards.peer_table(ws.table("peer_comparison"), 2023, cik=_id(ws, "MSFT"))
 
 
 @query("k15_compare_qoq")
@@ -785,7 +789,7 @@ def _(ws):
 
 @query("k18_percentile_bands")
 def _(ws):
-    return dashboards.percentile_bands(ws.table("peer_comparison"), 2023, ticker="MSFT")
+    return dashboards.percentile_bands(ws.table("peer_comparison"), 2023, cik=_id(ws, "MSFT"))
 
 
 @query("k19_leaderboards")
@@ -879,7 +883,7 @@ def _(ws):
 
 @query("l1_company_profile")
 def _(ws):
-    return lookups.company_profile(ws.table("company_metrics"))
+    return lookups.company_profile(ws.table("company_metrics"), companies=ws.table("dim_companies"))
 
 
 @query("l2_sector_listing")
@@ -891,9 +895,9 @@ def _(ws):
 
 @query("l3_ticker_trend")
 def _(ws):
-    return lookups.ticker_trend(ws.table("timeseries"))
+    return lookups.ticker_trend(ws.table("timeseries"), companies=ws.table("dim_companies"))
 
 
 @query("l4_ticker_ratios")
 def _(ws):
-    return lookups.ticker_ratios(ws.table("financial_ratios"))
+    return lookups.ticker_ratios(ws.table("financial_ratios"), companies=ws.table("dim_companies"))

@@ -76,8 +76,23 @@ def test_broken_check_is_reported(spark):
         q.require(only)
 
 
+def test_check_that_fails_while_running_is_one_failed_row(spark):
+    raising = q.Check("raising", F.max(F.when(F.col("value") > 0, F.raise_error(F.lit("broken value")))), 1)
+    got = outcome(q.run_checks(table(spark, *GOOD), [q.min_rows("rows", 1), raising, q.years_within("years")]))
+    assert got["rows"][0] is True and got["years"][0] is True
+    assert got["raising"][0] is False and got["raising"][2]
+
+
 def test_checks_of_a_table_share_one_scan(spark, scratch):
     table(spark, *GOOD).write.parquet(f"{scratch}/t")
     stored = spark.read.parquet(f"{scratch}/t")
     checks = [q.min_rows("a", 1), q.no_nulls("b", ["cik"]), q.years_within("c"), q.pass_rate("d")]
-    assert plan(q.run_checks(stored, checks)).count("FileScan") == 1
+    spark.sparkContext.setJobGroup("one-scan", "a suite")
+    try:
+        assert q.run_checks(stored, checks).count() == 4
+        tracker = spark.sparkContext.statusTracker()
+        jobs = tracker.getJobIdsForGroup("one-scan")
+        # The fold (a stage before and after its exchange) and the count of four local rows.
+        assert len(jobs) <= 4
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
