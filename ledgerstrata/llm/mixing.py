@@ -78,9 +78,7 @@ def flattened(cells: DataFrame, dimension: str, power: float) -> DataFrame:
     """Target shares ``(value, share)`` in proportion to observed tokens to ``power``."""
     totals = cells.groupBy(F.col(dimension).alias("value")).agg(F.sum("tokens").alias("t"))
     sizes = totals.where("t > 0").withColumn("s", F.pow(F.col("t").cast("double"), F.lit(power)))
-    return sizes.crossJoin(sizes.agg(F.sum("s").alias("all"))).select(
-        "value", (F.col("s") / F.col("all")).alias("share")
-    )
+    return sizes.select("value", (F.col("s") / sizes.agg(F.sum("s")).scalar()).alias("share"))
 
 
 def _goals(cells: DataFrame, dimension: str, target: DataFrame) -> DataFrame:
@@ -90,10 +88,8 @@ def _goals(cells: DataFrame, dimension: str, target: DataFrame) -> DataFrame:
     joined = present.join(named, dimension, "left").select(
         dimension, F.coalesce("share", F.lit(0.0)).alias("share")
     )
-    whole = joined.agg(F.sum("share").alias("all"))
-    return joined.crossJoin(whole).select(
-        dimension, F.when(F.col("all") > 0, F.col("share") / F.col("all")).otherwise(0.0).alias("goal")
-    )
+    whole = joined.agg(F.sum("share")).scalar()
+    return joined.select(dimension, F.coalesce(F.try_divide("share", whole), F.lit(0.0)).alias("goal"))
 
 
 def _lookup(factors: dict[str, float], key: Column) -> Column:
