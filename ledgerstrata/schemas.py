@@ -330,10 +330,29 @@ TIMESERIES = _fields(
     ],
 )
 
+# Load timestamps that the writer adds to a stored table. They are stored but not
+# part of its declared columns, so a plain read of the table does not show them.
+AUDIT = {
+    "raw_companies": ("created_at",),
+    "raw_financials": ("created_at",),
+    "dim_companies": ("created_at", "updated_at"),
+    "dim_taxonomy": ("created_at", "updated_at"),
+    "fact_financials": ("created_at",),
+    "fact_submissions": ("created_at",),
+    "company_metrics": ("last_updated",),
+    "financial_ratios": ("last_updated",),
+    "peer_comparison": ("last_updated",),
+    "timeseries": ("last_updated",),
+}
+
+# Unchecked rows may name any year. Their table has one directory per year of
+# TABLE_YEAR_RANGE and one for all others, and keeps the year itself as a column.
+YEAR_BUCKET = "year_bucket"
+
 # Stored tables: layer, schema, partition column, clustering columns.
 TABLES = {
     "raw_companies": ("bronze", RAW_COMPANIES, None, ("cik_padded",)),
-    "raw_financials": ("bronze", RAW_FINANCIALS, "fiscal_year", ("cik_padded", "concept")),
+    "raw_financials": ("bronze", RAW_FINANCIALS, YEAR_BUCKET, ("cik_padded", "concept")),
     "dim_companies": ("silver", DIM_COMPANIES, None, ("cik",)),
     "dim_taxonomy": ("silver", DIM_TAXONOMY, None, ("concept",)),
     "dim_dates": ("silver", DIM_DATES, None, ("date",)),

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerstrata.schemas import TABLES
+from ledgerstrata.schemas import AUDIT, TABLE_YEAR_RANGE, TABLES, YEAR_BUCKET
 from ledgerstrata.sources.tables import table_path
 
 
@@ -55,11 +55,23 @@ def write_table(
         writer.parquet(path)
 
 
-def save(df: DataFrame, root: str, name: str, *, mode: str = "overwrite", audit: Iterable[str] = ()) -> None:
+def year_bucket(year: str = "fiscal_year") -> Column:
+    """The year where it lies in the range of the tables, else NULL."""
+    return F.when(F.col(year).between(*TABLE_YEAR_RANGE), F.col(year)).alias(YEAR_BUCKET)
+
+
+def _stored_columns(df: DataFrame, name: str) -> DataFrame:
+    """The declared columns of a table with its bucket and audit columns."""
+    _, schema, partition_by, _ = TABLES[name]
+    bucket = [year_bucket()] if partition_by == YEAR_BUCKET else []
+    return with_audit(df.select(*schema.fieldNames(), *bucket), *AUDIT.get(name, ()))
+
+
+def save(df: DataFrame, root: str, name: str, *, mode: str = "overwrite") -> None:
     """Write one of the declared tables with its own partitioning and clustering."""
-    _, schema, partition_by, cluster_by = TABLES[name]
+    _, _, partition_by, cluster_by = TABLES[name]
     write_table(
-        with_audit(df.select(*schema.fieldNames()), *audit),
+        _stored_columns(df, name),
         table_path(root, name),
         mode=mode,
         partition_by=partition_by,
@@ -72,6 +84,21 @@ def touched_years(new_facts: DataFrame) -> DataFrame:
     return new_facts.select("fiscal_year").where("fiscal_year IS NOT NULL").distinct()
 
 
+def _drop_stale_years(spark: SparkSession, path: str, refreshed, started) -> None:
+    """Remove the directories of refreshed years that the refresh wrote no row of.
+
+    What it wrote carries a later load time than its start. Years are checked
+    values, so their list is short.
+    """
+    stored = spark.read.parquet(path)
+    newest = stored.groupBy("fiscal_year").agg(F.max("last_updated").alias("at")).collect()
+    stale = [r.fiscal_year for r in newest if refreshed(r.fiscal_year) and r["at"] < started]
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for year in stale:
+        folder = hadoop.Path(f"{path}/fiscal_year={year}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def refresh_view(
     spark: SparkSession,
     df: DataFrame,
@@ -87,26 +114,30 @@ def refresh_view(
     every year from the first touched one on is rewritten; the frame itself is
     computed over the full history first and cut to the years afterwards.
 
-    ``years`` that lost all their rows keep their old directory: pass such a
-    change as a full refresh.
+    A year that lost all its rows loses its directory as well.
 
     Returns one row: view, rows, bytes, last modification, status.
     """
-    _, schema, partition_by, cluster_by = TABLES[name]
-    out = df.select(*schema.fieldNames())
+    _, _, partition_by, cluster_by = TABLES[name]
+    path = table_path(root, name)
+    out = _stored_columns(df, name)
+    started = None
     if years is not None:
         years = sorted(set(years))
         if name == "timeseries":
             out = out.where(F.col("fiscal_year") >= years[0])
         else:
             out = out.where(F.col("fiscal_year").isin(years))
+        started = spark.range(1).select(F.current_timestamp()).first()[0]
     write_table(
         out,
-        table_path(root, name),
+        path,
         partition_by=partition_by,
         cluster_by=cluster_by,
         partition_overwrite="static" if years is None else "dynamic",
     )
+    if years is not None:
+        _drop_stale_years(spark, path, lambda y: y >= years[0] if name == "timeseries" else y in years, started)
     return table_sizes(spark, {name: table_path(root, name)}).select(
         F.col("table_name").alias("view_id"),
         "row_count",
@@ -119,22 +150,33 @@ def refresh_view(
 def table_sizes(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Rows, files, bytes and last modification per stored table, largest first.
 
-    No data column is read: row counts come from the Parquet footers and sizes
-    from file metadata. Files are collapsed first so that each counts once.
+    No row is read: files are listed with their sizes, and their footers, read
+    side by side, tell the row counts.
     """
 
+    def footers(batches):
+        import pandas as pd
+        from pyarrow import fs, parquet
+
+        for batch in batches:
+            counts = []
+            for address in batch["path"]:
+                filesystem, file = fs.FileSystem.from_uri(address)
+                with filesystem.open_input_file(file) as handle:
+                    counts.append(parquet.read_metadata(handle).num_rows)
+            yield pd.DataFrame(
+                {"rows": counts, "bytes": batch["length"], "modified": batch["modificationTime"]}
+            )
+
     def one(name: str, path: str) -> DataFrame:
-        # A declared table may be stored without any file; its schema is known.
-        reader = spark.read.schema(TABLES[name][1]) if name in TABLES else spark.read
+        # Only path, length and time are selected, so no content is loaded.
         files = (
-            reader.parquet(path)
-            .select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
-            .groupBy("file_path")
-            .agg(
-                F.count("*").alias("rows"),
-                F.max("file_size").alias("bytes"),
-                F.max("file_modification_time").alias("modified"),
-            )
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", "*.parquet")
+            .option("recursiveFileLookup", True)
+            .load(path)
+            .select("path", "length", "modificationTime")
+            .mapInPandas(footers, "rows long, bytes long, modified timestamp")
         )
         return files.agg(
             F.lit(name).alias("table_name"),

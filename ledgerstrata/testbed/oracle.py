@@ -365,13 +365,31 @@ UNION ALL SELECT DISTINCT 'lake/daily-index/' || strftime(filing_date, '%Y/%m/%d
 _ORACLE["b1_write_append"] = (
     "SELECT cik, ticker FROM companies UNION ALL SELECT cik, ticker FROM companies"
 )
-_ORACLE["b2_partitioned_clustered_write"] = """SELECT fiscal_year, concept, count(*) AS n, sum(value) AS total
-FROM facts WHERE fiscal_year BETWEEN 2020 AND 2021 GROUP BY ALL"""
-_ORACLE["b3_year_buckets"] = "SELECT fiscal_year, count(*) AS filings FROM submissions GROUP BY fiscal_year"
-_ORACLE["b4_refresh_company_metrics"] = """SELECT 'company_metrics' AS view_id, count(*) AS row_count,
-  'success' AS refresh_status FROM metrics"""
-_ORACLE["b4_refresh_timeseries"] = """SELECT 'timeseries' AS view_id, count(*) AS row_count,
-  'success' AS refresh_status FROM series"""
+_ORACLE["b2_partitioned_clustered_write"] = """SELECT fiscal_year AS directory, fiscal_year, concept,
+  count(*) AS n, sum(value) AS total, CAST(0 AS BIGINT) AS out_of_order FROM facts GROUP BY ALL"""
+_ORACLE["b3_year_buckets"] = """SELECT CASE WHEN fiscal_year BETWEEN 2000 AND 2030
+    THEN CAST(fiscal_year AS VARCHAR) ELSE '__HIVE_DEFAULT_PARTITION__' END AS directory,
+  count(*) AS rows, count(DISTINCT fiscal_year) AS years FROM raw GROUP BY ALL"""
+
+
+def _refreshed(view: str, cte: str, fresh: str, kept: str) -> str:
+    """Rows of the refreshed years are true, the others still one too high; the emptied year is gone."""
+    return f"""SELECT *, '{view}' AS view_id, sum(row_count) OVER () AS reported_rows,
+  'success' AS refresh_status FROM (
+  SELECT CAST(fiscal_year AS INTEGER) AS fiscal_year, count(*) AS row_count,
+    sum(CASE WHEN {fresh} THEN revenue ELSE revenue + 1 END) AS revenue
+  FROM {cte} WHERE {kept} GROUP BY 1
+  {{extra}})"""
+
+
+_ORACLE["b4_refresh_company_metrics"] = _refreshed(
+    "company_metrics", "metrics", "fiscal_year IN (2022, 2023)", "true"
+).format(extra="")
+# The emptied year lies before the first refreshed one, so the time series keeps it.
+_ORACLE["b4_refresh_timeseries"] = _refreshed("timeseries", "series", "fiscal_year >= 2022", "true").format(
+    extra="""UNION ALL SELECT CAST(2009 AS INTEGER), count(*), sum(revenue)
+  FROM series WHERE fiscal_year = 2022"""
+)
 _ORACLE["b5_table_sizes"] = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {cte}"
     for name, cte in {

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerstrata import sinks, sources
@@ -17,7 +17,7 @@ from ledgerstrata.functions import pct
 from ledgerstrata.operators import bronze, dimensions, facts, gold, quality
 from ledgerstrata.plans import dashboards, lookups, medallion, peers, ratios, series
 from ledgerstrata.schemas import TABLES
-from ledgerstrata.sources.tables import table_path
+from ledgerstrata.sources.tables import read_table, table_path
 from ledgerstrata.testbed import filings
 from ledgerstrata.testbed.workspace import Workspace, workspace
 
@@ -152,39 +152,74 @@ def _(ws):
 
 @query("b2_partitioned_clustered_write")
 def _(ws):
-    return money_by(
-        ws.table("fact_financials").where("fiscal_year BETWEEN 2020 AND 2021"), "fiscal_year", "concept"
+    """Whole table as stored: rows and values per directory, and rows out of cluster order."""
+    ws.layer("silver")
+    stored = ws.spark.read.parquet(table_path(ws.root, "fact_financials")).select(
+        "*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at")
+    )
+    before = Window.partitionBy("file").orderBy("at")
+    key = F.struct("cik", "concept", "end_date")
+    directory = F.regexp_extract("file", "fiscal_year=([0-9]+)/", 1).cast("int")
+    return (
+        stored.withColumn("disorder", F.lag(key).over(before) > key)
+        .groupBy(directory.alias("directory"), "fiscal_year", "concept")
+        .agg(
+            F.count("*").alias("n"),
+            F.sum("value").alias("total"),
+            F.count_if("disorder").alias("out_of_order"),
+        )
     )
 
 
 @query("b3_year_buckets")
 def _(ws):
-    stored = ws.table("fact_submissions")
-    return stored.groupBy("fiscal_year").agg(F.count("*").alias("filings"))
+    """Rows per directory of the unchecked facts; years outside the range share one."""
+    ws.layer("bronze")
+    stored = ws.spark.read.parquet(table_path(ws.root, "raw_financials"))
+    folder = F.regexp_extract("_metadata.file_path", "year_bucket=([^/]+)/", 1)
+    return stored.groupBy(folder.alias("directory")).agg(
+        F.count("*").alias("rows"), F.count_distinct("fiscal_year").alias("years")
+    )
+
+
+EMPTIED = 2019  # a year that the stale copy still has and the true table has not
 
 
 def _refreshed(ws, name, years):
+    """A stale copy of a gold table, refreshed in some years; returns its content."""
     root = f"{ws.root}/scratch/refresh"
 
     def build():
-        medallion.save(ws.table(name), root, name)
-        out = medallion.refresh_view(
-            ws.spark, medallion.gold_frame(ws.spark, ws.root, name), root, name, years=years
-        )
-        built.append(out)
+        true = gold_rows(ws, name)
+        stale = true.withColumn("revenue", F.col("revenue") + 1)
+        gone = true.where(F.col("fiscal_year") == 2022).withColumn("fiscal_year", F.lit(EMPTIED - 10))
+        medallion.save(stale.unionByName(gone), root, name)
+        report = medallion.refresh_view(ws.spark, true, root, name, years=years)
+        report.write.mode("overwrite").parquet(f"{root}/report/{name}")
 
-    built: list[DataFrame] = []
     ws._once(f"refresh_{name}", build)
-    path = table_path(root, name)
-    report = sinks.table_sizes(ws.spark, {name: path})
-    return report.select(
-        F.col("table_name").alias("view_id"), "row_count", F.lit("success").alias("refresh_status")
+    reported = ws.spark.read.parquet(f"{root}/report/{name}")
+    stored = read_table(ws.spark, root, name)
+    by_year = stored.groupBy("fiscal_year").agg(
+        F.count("*").alias("row_count"), F.sum("revenue").alias("revenue")
+    )
+    return by_year.withColumns(
+        {
+            "view_id": reported.select("view_id").scalar(),
+            "reported_rows": reported.select("row_count").scalar(),
+            "refresh_status": reported.select("refresh_status").scalar(),
+        }
     )
 
 
+def gold_rows(ws, name):
+    ws.layer("silver")
+    return medallion.gold_frame(ws.spark, ws.root, name) if name == "company_metrics" else ws.table(name)
+
+
 @query("b4_refresh_company_metrics")
 def _(ws):
-    return _refreshed(ws, "company_metrics", [2022, 2023])
+    return _refreshed(ws, "company_metrics", [EMPTIED - 10, 2022, 2023])
 
 
 @query("b4_refresh_timeseries")

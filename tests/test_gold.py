@@ -263,8 +263,8 @@ def test_latest_year_prunes_directories(spark):
 
 
 def test_no_query_uses_a_cross_join(spark):
-    import __spark_entry__ as entry_point
+    from ledgerstrata.testbed import queries as registry
 
-    for name, query in entry_point.queries().items():
+    for name, query in registry.queries().items():
         text = plan(query(spark, "/root/testdata/sf0.001"))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name

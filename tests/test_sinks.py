@@ -175,3 +175,74 @@ def test_batch_stops_before_gold_when_checks_fail(spark, scratch):
         medallion.run(spark, ws.documents(), scratch)
     assert not os.path.exists(table_path(scratch, "company_metrics"))
     assert len(medallion.run(spark, ws.documents(), scratch, checks={})) == 4
+
+
+def test_unchecked_years_share_one_directory(spark, scratch):
+    ws = workspace(spark, SF)
+    stored = ws.table("raw_financials").where("concept = 'Assets' AND cik IN ('1', '2')")
+    wild = stored.withColumn("fiscal_year", (F.crc32(F.col("accession_number").cast("binary")) % 9000).cast("int"))
+    medallion.save(stored.unionByName(wild), scratch, "raw_financials")
+    path = table_path(scratch, "raw_financials")
+    folders = {os.path.basename(p) for p in glob.glob(f"{path}/year_bucket=*")}
+    assert len(folders) <= 32 and "year_bucket=__HIVE_DEFAULT_PARTITION__" in folders
+    back = sources.read_table(spark, scratch, "raw_financials")
+    assert back.columns == ws.table("raw_financials").columns and back.count() == 2 * stored.count()
+    some = sources.read_table(spark, scratch, "raw_financials", years=(2019, 2021))
+    assert some.count() == back.where("fiscal_year BETWEEN 2019 AND 2021").count() > 0
+    scan = next(line for line in plan(some).splitlines() if "FileScan" in line)
+    assert "year_bucket" in scan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    outside = sources.read_table(spark, scratch, "raw_financials", years=(1700, 9000))
+    assert outside.count() == back.where("fiscal_year BETWEEN 1700 AND 9000").count()
+
+
+def test_stored_tables_carry_load_times(spark):
+    ws = workspace(spark, SF)
+    ws.layer("gold")
+    for name, columns in (("raw_companies", ["created_at"]), ("timeseries", ["last_updated"])):
+        audited = sources.read_table(spark, ws.root, name, audit=True)
+        assert audited.columns == ws.table(name).columns + columns
+        assert audited.where(f"{columns[0]} IS NULL").count() == 0
+
+
+def scans(df, *names):
+    return [line for line in plan(df).splitlines() if "FileScan" in line and all(n in line for n in names)]
+
+
+def test_scorecards_prune_every_scan_of_the_series(spark):
+    ws = workspace(spark, SF)
+    tables = [ws.table(name) for name in ("company_metrics", "timeseries", "financial_ratios")]
+    read = scans(dashboards.executive_scorecards(*tables), "ttm_revenue")
+    assert read and all("fiscal_year" in r.split("PartitionFilters:")[1].split("]")[0] for r in read)
+
+
+def test_recent_filings_are_bounded_by_date(spark):
+    ws = workspace(spark, SF)
+    metrics, filed = ws.table("company_metrics"), ws.table("fact_submissions")
+    out = dashboards.recent_filings(metrics, filed, limit=20)
+    assert any("Subquery" in s or "subquery" in s for s in scans(out, "accession_number"))
+    keys = ["cik", "fiscal_year", "fiscal_period"]
+    whole = (
+        metrics.join(filed.select(*keys, "filing_date", "accession_number"), keys)
+        .orderBy(F.desc("filing_date"), "cik", "accession_number")
+        .limit(20)
+    )
+    assert sorted(r.filing_date for r in out.collect()) == sorted(r.filing_date for r in whole.collect())
+
+
+def test_ticker_lists_go_by_id(spark):
+    from ledgerstrata.plans import lookups, series
+
+    ws = workspace(spark, SF)
+    companies, frames = ws.table("dim_companies"), ws.table("timeseries")
+    pairs = [
+        (lookups.ticker_ratios, ws.table("financial_ratios")),
+        (lookups.ticker_trend, frames),
+        (lookups.company_profile, ws.table("company_metrics")),
+        (series.growth_trend, frames),
+        (series.seasonality, frames),
+    ]
+    for function, table in pairs:
+        found = function(table, companies=companies)
+        assert sorted(map(str, found.collect())) == sorted(map(str, function(table).collect()))
+        wide = max(scans(found, "company_name"), key=len)
+        assert "cik" in wide.split("DataFilters:")[1].split("Format:")[0]
