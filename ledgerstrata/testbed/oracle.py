@@ -361,6 +361,11 @@ _ORACLE["a6_filing_paths"] = """SELECT DISTINCT 'lake/filings/' || cik || '/' ||
 UNION ALL SELECT DISTINCT 'lake/daily-index/' || strftime(filing_date, '%Y/%m/%d') || '/form.idx',
   'daily-index', CAST(year(filing_date) AS INTEGER), filing_date, NULL, NULL, 'form.idx' FROM submissions"""
 
+_ORACLE["a6_daily_index"] = """SELECT 'daily-index' AS layout, CAST(year(filing_date) AS INTEGER) AS layout_year,
+  filing_date AS index_date, 'form.idx' AS file_name, count(*) AS filings,
+  min(cik || '|' || accession_number) AS first_line
+FROM submissions WHERE filing_date IS NOT NULL GROUP BY filing_date"""
+
 # --- B ---------------------------------------------------------------------------
 _ORACLE["b1_write_append"] = (
     "SELECT cik, ticker FROM companies UNION ALL SELECT cik, ticker FROM companies"

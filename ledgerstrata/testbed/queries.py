@@ -134,6 +134,18 @@ def _(ws):
     return sources.with_layout(paths, "path")
 
 
+@query("a6_daily_index")
+def _(ws):
+    """The index files of every day, found by their layout and read."""
+    path = f"{ws.daily_index_folder()}/{sources.layout_glob('daily-index')}"
+    lines = ws.spark.read.text(path).select("value", "_metadata.file_path")
+    return (
+        sources.with_layout(lines, "file_path")
+        .groupBy("layout", "layout_year", "index_date", "file_name")
+        .agg(F.count("*").alias("filings"), F.min("value").alias("first_line"))
+    )
+
+
 # --- B: sinks --------------------------------------------------------------------
 
 

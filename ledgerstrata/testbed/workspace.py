@@ -107,6 +107,32 @@ class Workspace:
         lines = self.spark.read.text(self.documents_folder())
         lines.mapInPandas(pack, "members long").agg(F.sum("members")).first()
 
+    def _index(self) -> None:
+        """A form index per filing day, one line per filing, in the daily-index layout."""
+        target = f"{self.root}/landing"
+
+        def write(day):
+            import pandas as pd
+            from pyarrow import fs
+
+            date = day["filing_date"].iloc[0]
+            filesystem, folder = fs.FileSystem.from_uri(target)
+            folder = f"{folder}/daily-index/{date:%Y/%m/%d}"
+            filesystem.create_dir(folder, recursive=True)
+            lines = sorted(f"{cik}|{number}\n" for cik, number in zip(day["cik"], day["accession_number"]))
+            # A retried task writes the same bytes again.
+            with filesystem.open_output_stream(f"{folder}/form.idx") as out:
+                out.write("".join(lines).encode())
+            return pd.DataFrame({"lines": [len(lines)]})
+
+        filings = self.table("fact_submissions").where("filing_date IS NOT NULL")
+        days = filings.select("filing_date", "cik", "accession_number").groupBy("filing_date")
+        days.applyInPandas(write, "lines long").agg(F.sum("lines")).first()
+
+    def daily_index_folder(self) -> str:
+        self._once("daily-index", self._index)
+        return f"{self.root}/landing"
+
     def documents_folder(self) -> str:
         self._once("landing", self._land)
         return self.facts_path
