@@ -19,13 +19,15 @@ import sys
 import types
 from array import array
 
+from ledgerstrata.llm.common import give_back
+
 WORD_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
 ODD_SPACE = re.compile(r"[^\S \n]")
 # Marks a key that stands for its text as it is; other keys of spaced
 # vocabularies stand for a space and the word, or begin with their line feed.
 PLAIN = "\r"
 # Words kept per worker, at about 200 bytes each; later new words are encoded each time.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 300_000
 KEPT_LENGTH = 48
 
 
@@ -186,3 +188,4 @@ def encode_batches(batches, encoder: WordEncoder, group_bytes: int = 8 << 20):
                 yield from zip(keys, encoder.encode(texts))
                 keys, texts, size = [], [], 0
         yield from zip(keys, encoder.encode(texts))
+    give_back()

@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstrata.llm.common import map_texts, remainder_of_id, spare_name, stored
+from ledgerstrata.llm.common import give_back, map_texts, remainder_of_id, spare_name, stored
 
 WORDS = 1 << 15
 DIMENSIONS = 64
@@ -54,7 +54,7 @@ class Buckets(dict):
     def __missing__(self, unit: bytes) -> int:
         key = unit if len(unit) > 1 and unit.isupper() else unit.lower()
         bucket = zlib.crc32(key) % WORDS
-        if len(self) < 300_000 and len(unit) <= 32:
+        if len(self) < 100_000 and len(unit) <= 32:
             self[unit] = bucket
         return bucket
 
@@ -105,7 +105,7 @@ def context_sums(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 ids = bucket_ids(text.as_py() or b"", buckets)
                 held += [ids, gap]
                 size += len(ids)
-                if size >= 1 << 20:
+                if size >= 1 << 19:
                     add()
                     held, size = [], 0
         if held:
@@ -114,6 +114,8 @@ def context_sums(docs: DataFrame, text_col: str = "text") -> DataFrame:
         rows = total.reshape(-1, DIMENSIONS)[seen]
         columns = [seen, counts[seen], *rows.T]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+        del total, counts, rows, columns, held, buckets
+        give_back()
 
     schema = ", ".join(f"{name} long" for name in names)
     parts = docs.select(F.col(text_col).cast("string").cast("binary")).mapInArrow(run, schema)

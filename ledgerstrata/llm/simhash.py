@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstrata.llm.common import only_rows, stored, word_blocks
+from ledgerstrata.llm.common import give_back, only_rows, stored, word_blocks
 from ledgerstrata.llm.components import connected_components
 
 RADIUS = 3
@@ -86,6 +86,7 @@ def fingerprints(
                 [batch.column(0), batch.column(1), pa.array(prints.view("<i8"))],
                 names=["doc_id", "text_key", "fp"],
             )
+        give_back()
 
     source = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
