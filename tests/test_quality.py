@@ -1,7 +1,6 @@
 """Check suites: passing, failing, broken and empty."""
 
 import pytest
-from conftest import plan
 from pyspark.sql import functions as F
 
 from ledgerstrata.operators import quality as q
