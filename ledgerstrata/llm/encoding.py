@@ -53,7 +53,7 @@ def _byte_letters() -> dict[int, str]:
 class WordEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids."""
 
-    def __init__(self, path: str, words: str):
+    def __init__(self, path: str, words: str, kept_words: int = KEPT_WORDS):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -65,14 +65,15 @@ class WordEncoder:
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.spaced = words == "spaced"
+        self.kept_words = kept_words
         self.known: dict[str, bytes] = {}
 
     @classmethod
-    def of_worker(cls, path: str, words: str) -> "WordEncoder":
-        kept = _kept()
-        if (path, words) not in kept:
-            kept[path, words] = cls(path, words)
-        return kept[path, words]
+    def of_worker(cls, path: str, words: str, kept_words: int = KEPT_WORDS) -> "WordEncoder":
+        kept, name = _kept(), (path, words, kept_words)
+        if name not in kept:
+            kept[name] = cls(path, words, kept_words)
+        return kept[name]
 
     def _keys(self, text: str) -> list[str]:
         """The words of a text as keys of ``known``."""
@@ -143,7 +144,7 @@ class WordEncoder:
         for key, some in zip(keys, parts):
             learned[key] = b"".join([fresh[p] if p in fresh else known[p] for p in some])
         for found in (fresh, learned):
-            if len(known) < KEPT_WORDS:
+            if len(known) < self.kept_words:
                 known.update((key, ids) for key, ids in found.items() if len(key) <= KEPT_LENGTH)
         return learned
 

@@ -41,6 +41,8 @@ BLOCK = 512
 MAGIC = b"DACTOK01"
 TRAILER = "<QQQQ8s"
 TRAILER_BYTES = struct.calcsize(TRAILER)
+# Words kept per worker: these tasks hold little else, and every new word costs the library's merging.
+KEPT_WORDS = 800_000
 MANIFEST = "part int, file string, docs long, tokens long"
 
 
@@ -200,6 +202,7 @@ def write_tokens(
     words: str = "spaced",
     id_col: str = "doc_id",
     text_col: str = "text",
+    kept_words: int = KEPT_WORDS,
 ) -> DataFrame:
     """Encode ``docs`` and write one token file per range of ids; returns the manifest.
 
@@ -214,7 +217,7 @@ def write_tokens(
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encoded = encode_batches(batches, WordEncoder.of_worker(tokenizer, words))
+        encoded = encode_batches(batches, WordEncoder.of_worker(tokenizer, words, kept_words))
         first = next(encoded, None)
         if first is None:
             return
