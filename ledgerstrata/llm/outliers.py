@@ -15,8 +15,10 @@ combine, so a group with a third of all rows is a few hundred rows per task.
 Statistics are whole numbers (1/1024 units), so sums are exact in any order and a
 repeated task gives the same estimate.
 
-A document is never rejected for a statistic that hardly varies in its group:
-``FLOORS`` are added to the spread of every statistic.
+``FLOORS`` are added to the spread of every statistic in every group, so a statistic
+that hardly varies in its group rejects no document for a small difference. They make
+every distance smaller, also where a statistic does vary; a document is rejected beyond
+the ``QUANTILE`` of the chi-square distribution.
 
 * NULL and empty texts have no words and fail the base rule.
 * NULL language or source is a value of its own.
@@ -43,7 +45,8 @@ FLOORS = {"word_length": 0.08, "symbols": 0.6, "dup_lines": 0.5, "repeats": 0.5,
 UNIT = 1024
 CLASSES = 64
 COVERAGE = 0.75
-QUANTILE = 0.9999
+# A customary cutoff of robust distances.
+QUANTILE = 0.99
 LEAST_ROWS = 60
 STEPS = 6
 ABSENT = "\u0000"

@@ -51,6 +51,16 @@ def test_given_documents(spark):
     assert sum(r.kept for r in junk) < 0.2 * len(junk)
 
 
+def test_cutoff_rejects_what_the_distances_separate(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    rows = outliers.quality_rules(docs).join(labels.select("doc_id", "quality"), "doc_id").collect()
+    assert all(r.kept == (not r.base_failed and (r.distance or 0) <= 15.0863) for r in rows)
+    bad = [r.kept for r in rows if r.quality == 0]
+    good = [r.kept for r in rows if r.quality == 1 and not r.base_failed]
+    assert sum(bad) <= 0.05 * len(bad) and sum(good) >= 0.99 * len(good)
+
+
 # --- the estimator against a plain version in numpy ------------------------------------------
 
 
