@@ -269,7 +269,9 @@ def company_id(companies: DataFrame, ticker: str) -> Column:
     """Id of a ticker as a scalar subquery on the company dimension.
 
     Tables are clustered by company id, not by ticker: a lookup by id skips the
-    row groups of all other companies, and this turns a ticker into one.
+    row groups of all other companies, and this turns a ticker into one. These
+    pages show one company: of several that share the ticker that with the least
+    id. Another is shown by giving its id.
     """
     return companies.where(F.col("ticker") == ticker).agg(F.min("cik")).scalar()
 

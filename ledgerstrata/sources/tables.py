@@ -52,14 +52,19 @@ def read_table(
 
 
 def with_tickers(df: DataFrame, tickers: Sequence[str], companies: DataFrame | None = None) -> DataFrame:
-    """Rows of the companies with the given tickers.
+    """Rows of the companies with the given tickers, all companies that share one included.
 
     Stored tables are clustered by company id, not by ticker. With the company
-    dimension at hand each ticker becomes an id through a scalar subquery, and a
-    lookup by id skips the row groups of all other companies.
+    dimension at hand the least and largest id of those companies bound the scan
+    through scalar subqueries, which skips the row groups outside.
     """
     wanted = F.col("ticker").isin(*tickers)
     if companies is None:
         return df.where(wanted)
-    ids = [companies.where(F.col("ticker") == t).agg(F.min("cik")).scalar() for t in tickers]
-    return df.where(wanted & reduce(lambda a, b: a | b, [F.col("cik") == one for one in ids]))
+    # A range per ticker: one range over all would span what lies between them.
+    ranges = []
+    for ticker in tickers:
+        ids = companies.where(F.col("ticker") == ticker)
+        low, high = ids.agg(F.min("cik")).scalar(), ids.agg(F.max("cik")).scalar()
+        ranges.append(F.col("cik").between(low, high))
+    return df.where(wanted & reduce(lambda a, b: a | b, ranges))
