@@ -2,8 +2,12 @@
 
 Lines that mention a licence (headers, anywhere in a text) and the whole text of
 licence files are compared with templates by the cosine of sparse TF-IDF vectors.
-The best template at or above the threshold is the file's own licence. A file
-without one inherits that of the nearest directory above it that holds a licence
+The best template at or above the threshold is the file's own licence. A text that
+mentions a licence but has no such line is searched across its line breaks, comment
+marks aside: windows as long as a template, from where its first two terms stand, are
+compared with short and long templates, so wrapped headers and whole licence texts
+match as well. SPDX identifiers and a bare "MIT License" title name a licence outright
+(cosine 1); of an SPDX expression the first licence counts. A file without one inherits that of the nearest directory above it that holds a licence
 file with a licence, found by joining the directories' ancestor paths.
 
 Texts are read once for the few lines that mention a licence. Ancestors are
@@ -67,6 +71,31 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+# Only for windows: headers and titles of whole texts that differ in few words.
+_FREE = ("you can redistribute it and/or modify it under the terms of the GNU {0} as published by the Free "
+         "Software Foundation, either version {1} of the License, or (at your option) any later version.")
+LONG_TEMPLATES = TEMPLATES + tuple(
+    (name, text)
+    for name, title, version in (
+        ("AGPL-3.0", "Affero General Public License", "3"), ("LGPL-3.0", "Lesser General Public License", "3"),
+        ("LGPL-2.1", "Lesser General Public License", "2.1"), ("GPL-2.0", "General Public License", "2"),
+        ("GPL-3.0", "General Public License", "3"),
+    )
+    for text in (
+        "This program is free software: " + _FREE.format(title, version),
+        "This library is free software; " + _FREE.format(title, version),
+    )
+) + (
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0 1. Definitions"),
+)
+SPDX = r"(?i)SPDX-License-Identifier:[ \t(]*([a-z0-9.+-]+)"
+TITLE = r"(?im)^[^a-z0-9\n]*(?:the )?(mit|isc) licen[cs]e(?: \(mit\))?[^a-z0-9\n]*$"
 MENTIONS = (
     r"(?i)licen[cs]e|copyright|creative commons|public domain|cc0|cc by|"
     r"permission (is hereby granted|to use)|redistribution and use|free software"
@@ -81,9 +110,9 @@ def terms(text: str) -> list[str]:
     return [word for word in (part.strip(".") for part in re.split(TERM_BREAK, text.lower())) if word]
 
 
-def template_weights() -> tuple[list[tuple[str, int, str, float]], dict[str, float], float]:
+def template_weights(templates=TEMPLATES) -> tuple[list[tuple[str, int, str, float]], dict[str, float], float]:
     """Rows ``(licence, template, term, weight / norm)``, the idf of terms, and that of others."""
-    bags = [(name, Counter(terms(text))) for name, text in TEMPLATES]
+    bags = [(name, Counter(terms(text))) for name, text in templates]
     seen = Counter(term for _, bag in bags for term in bag)
     idf = {term: math.log((1 + len(bags)) / (1 + n)) + 1 for term, n in seen.items()}
     rows = []
@@ -102,7 +131,6 @@ def own_licences(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     ``files`` has ``id``, ``path`` and ``text``.
     """
-    spark = files.sparkSession
     key = _key(F.col("id"), F.col("path"), F.col("text")).alias("key")
     lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(MENTIONS))
     whole = F.when(F.col("path").rlike(LICENCE_FILE), F.array("text")).otherwise(F.array())
@@ -110,16 +138,60 @@ def own_licences(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     units = files.where("text IS NOT NULL").select(
         key, F.posexplode(F.concat(F.coalesce(whole, F.array()), mentioned)).alias("unit", "content")
     )
-    words = F.filter(
-        F.transform(F.split(F.lower("content"), TERM_BREAK), lambda word: F.trim(word, F.lit("."))),
+    lined = stored(_matched(units, TEMPLATES, threshold), "line-licences")
+    mentioning = files.where(F.col("text").rlike(MENTIONS)).select(key, "text")
+    rest = stored(mentioning.join(lined.select("key"), "key", "left_anti"), "unlined-texts")
+    named = rest.select("key", _named("text").alias("licence")).where("licence <> ''").distinct()
+    wide = rest.join(named.select("key"), "key", "left_anti")
+    windows = _matched(wide.select("key", F.posexplode(_windows("text")).alias("unit", "content")), LONG_TEMPLATES, threshold)
+    return lined.unionByName(named.withColumn("cosine", F.lit(1.0))).unionByName(windows)
+
+
+def _terms(text: Column) -> Column:
+    return F.filter(
+        F.transform(F.split(F.lower(text), TERM_BREAK), lambda word: F.trim(word, F.lit("."))),
         lambda word: word != "",
     )
+
+
+def _named(text: str) -> Column:
+    """The licence that an SPDX identifier or a bare title names, or an empty text."""
+    spdx = F.regexp_replace(F.regexp_extract(text, SPDX, 1), r"(?i)(-only|-or-later|\+)$", "")
+    return F.when(spdx != "", spdx).otherwise(F.upper(F.regexp_extract(text, TITLE, 1)))
+
+
+def _windows(text: str) -> Column:
+    """Runs of terms as long as a template, from where its first two terms stand."""
+    starts = sorted({(*bag[:2], len(bag)) for bag in (terms(template) for _, template in LONG_TEMPLATES)})
+    firsts = sorted({first for first, _, _ in starts})
+
+    def found(words: Column) -> Column:
+        places = F.filter(
+            F.sequence(F.lit(0), F.greatest(F.size(words) - 1, F.lit(0))), lambda i: F.get(words, i).isin(firsts)
+        )
+        cuts = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(n).alias("n")) for a, b, n in starts])
+        return F.flatten(
+            F.transform(
+                places,
+                lambda i: F.transform(
+                    F.filter(cuts, lambda c: (c["a"] == F.get(words, i)) & (c["b"] == F.get(words, i + 1))),
+                    lambda c: F.concat_ws(" ", F.slice(words, i + 1, c["n"])),
+                ),
+            )
+        )
+
+    return F.transform(F.array(_terms(F.col(text))), found)[0]
+
+
+def _matched(units: DataFrame, templates_of: tuple, threshold: float) -> DataFrame:
+    """``(key, licence, cosine)`` of the best template of any unit ``(key, unit, content)``."""
+    spark = units.sparkSession
     counts = (
-        units.select("key", "unit", F.explode(words).alias("term"))
+        units.select("key", "unit", F.explode(_terms(F.col("content"))).alias("term"))
         .groupBy("key", "unit", "term")
         .agg(F.count("*").alias("n"))
     )
-    rows, idf, other = template_weights()
+    rows, idf, other = template_weights(templates_of)
     rarity = spark.createDataFrame(sorted(idf.items()), "term string, idf double")
     templates = spark.createDataFrame(rows, "licence string, template int, term string, part double")
     # Both are a few hundred constant rows.
