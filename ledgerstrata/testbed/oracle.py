@@ -548,7 +548,7 @@ def _g5(equity: str, assets: str) -> str:
     return f"""SELECT company_name, ticker, sector, fiscal_year, debt_to_equity_ratio, debt_to_assets_pct,
   long_term_debt_to_equity, total_assets, stockholders_equity FROM ratios
 WHERE fiscal_year = 2023 AND debt_to_equity_ratio > {equity} AND total_assets > {assets}
-ORDER BY debt_to_equity_ratio DESC, cik LIMIT 50"""
+QUALIFY row_number() OVER (ORDER BY debt_to_equity_ratio DESC, cik) <= 50"""
 
 
 _ORACLE["g5_high_leverage"] = _g5("2.0", "1e9")
