@@ -14,7 +14,9 @@ that a third of all pages share.
 * NULL html is an empty payload; empty payloads equal each other.
 * NULL ids rank below all others; NULL or broken addresses are written as a URN
   or percent-encoded, so no value can end a header early.
-* Rows that agree in id, address and payload are one capture, returned once.
+* Rows that agree in id, address and payload are captures of their own: the record
+  ids of all but the first carry a number. Rows of the largest id are all responses,
+  and revisits refer to the first of them.
 * Records that point at no capture are left out of the assembly. Of several
   requests or metadata records of a capture, the one with the least record id is
   nested and all are counted.
@@ -27,7 +29,7 @@ task leaves no second copy behind.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerstrata.llm.common import new_folder, stored
@@ -41,9 +43,11 @@ RECORDS = (
 )
 
 
-def _record_id(kind: str, page_id, url: str, digest: str) -> str:
+def _record_id(kind: str, page_id, url: str, digest: str, again: int = 0) -> str:
+    """The id of a record; ``again`` tells rows that repeat all of the rest apart."""
     import uuid
 
+    kind = f"{kind} again {again}" if again else kind
     return f"<urn:uuid:{uuid.uuid5(uuid.UUID(NAMESPACE), f'{kind} {page_id} {digest} {url}')}>"
 
 
@@ -64,14 +68,14 @@ def _record(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
-def _transaction(page_id, url, payload: bytes, sha1: str, original, date: str):
+def _transaction(page_id, url, payload: bytes, sha1: str, again: int, original, date: str):
     """The three records of a page; ``original`` is (id, address) of the response, or None."""
     import base64
     from urllib.parse import quote
 
     uri = quote(url, safe="%/:=&?~#+!$,;'@()*[]|") if url else f"urn:page:{page_id}"
     digest = base64.b32encode(bytes.fromhex(sha1)).decode()
-    capture = _record_id("capture", page_id, url or "", sha1)
+    capture = _record_id("capture", page_id, url or "", sha1, again)
 
     def headers(kind: str, record_id: str, content: str, *more):
         return [
@@ -82,7 +86,7 @@ def _transaction(page_id, url, payload: bytes, sha1: str, original, date: str):
     linked = ("WARC-Concurrent-To", capture)
     host, _, path = uri.partition("://")[2].partition("/")
     yield _record(
-        headers("request", _record_id("request", page_id, url or "", sha1),
+        headers("request", _record_id("request", page_id, url or "", sha1, again),
                 "application/http;msgtype=request", linked),
         f"GET /{path} HTTP/1.1\r\nHost: {host}\r\n\r\n".encode(),
     )
@@ -104,7 +108,7 @@ def _transaction(page_id, url, payload: bytes, sha1: str, original, date: str):
         )
     fields = "" if page_id is None else f"page-id: {page_id}\r\n"
     yield _record(
-        headers("metadata", _record_id("metadata", page_id, url or "", sha1),
+        headers("metadata", _record_id("metadata", page_id, url or "", sha1, again),
                 "application/warc-fields", linked),
         fields.encode(),
     )
@@ -127,20 +131,38 @@ def write_captures(
     ).select(
         "*", F.sha1("payload").alias("sha1"), F.octet_length("payload").alias("size")
     )
+    keys = ["page_id", "url", "sha1", "size"]
     copies = stored(
-        rows.where(F.col("size") >= min_bytes)
+        rows.groupBy(*keys)
+        .agg(F.count("*").alias("n"))
         .groupBy("sha1", "size")
-        .agg(F.count("*").alias("n"), F.max(F.struct("page_id", "url")).alias("original"))
-        .where("n > 1")
-        .drop("n"),
+        .agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max(F.struct("page_id", "url")).alias("original"))
+        .where("n > 1"),
         "warc-copies",
     )
     # The pages always move by digest, so small and large tables have the same plan.
-    revisits = F.col("original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("original.page_id"))
-    planned = rows.join(copies.hint("merge"), ["sha1", "size"], "left").select(
-        "page_id", "url", "payload", "sha1", revisits.alias("revisits"),
-        F.col("original.page_id").alias("original_id"), F.col("original.url").alias("original_url"),
-    )
+    shared = F.col("original").isNotNull() & (F.col("size") >= min_bytes)
+    revisits = shared & ~F.col("page_id").eqNullSafe(F.col("original.page_id"))
+    joined = rows.join(copies.drop("n").hint("merge"), ["sha1", "size"], "left")
+
+    def plan(some: DataFrame, again: Column) -> DataFrame:
+        return some.select(
+            "page_id", "url", "payload", "sha1", again.cast("long").alias("again"), revisits.alias("revisits"),
+            F.col("original.page_id").alias("original_id"), F.col("original.url").alias("original_url"),
+        )
+
+    planned = plan(joined.where("most IS NULL OR most = 1"), F.lit(0))
+    if not copies.where("most > 1").isEmpty():
+        # Rows equal in everything are counted, not sorted, and then dealt out in runs.
+        counted = (
+            joined.where("most > 1")
+            .groupBy(*keys)
+            .agg(F.first("payload").alias("payload"), F.first("original").alias("original"), F.count("*").alias("n"))
+        )
+        runs = counted.withColumn("run", F.explode(F.sequence(F.lit(0), F.expr("(n - 1) div 1000").cast("long"))))
+        again = F.explode(F.sequence(F.col("run") * 1000, F.least(F.col("n"), (F.col("run") + 1) * 1000) - 1))
+        dealt = runs.repartition(*keys, "run").withColumn("again", again)
+        planned = planned.unionByName(plan(dealt, F.col("again")))
 
     def run(batches):
         import uuid
@@ -165,10 +187,12 @@ def write_captures(
             while batch is not None:
                 # Row by row, so that one payload at a time is a Python object.
                 for row in range(batch.num_rows):
-                    page_id, url, payload, sha1, revisit, *original = (
+                    page_id, url, payload, sha1, again, revisit, *original = (
                         column[row].as_py() for column in batch.columns
                     )
-                    parts = _transaction(page_id, url, payload, sha1, original if revisit else None, date)
+                    parts = _transaction(
+                        page_id, url, payload, sha1, again, original if revisit else None, date
+                    )
                     for part in parts:
                         out.write(part)
                     captures += 1
