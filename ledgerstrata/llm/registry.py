@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerstrata.llm import (
     exact_dedup,
+    fill_in_middle,
     interpolation,
     licenses,
     mixing,
@@ -16,6 +17,8 @@ from ledgerstrata.llm import (
     quality_model,
     simhash,
     token_store,
+    toxicity,
+    vector_codes,
     warc,
 )
 from ledgerstrata.llm.common import table, vocabulary
@@ -67,6 +70,18 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.middle_digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         query.__name__: query
@@ -81,6 +96,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_license_scan,
             op9_deleted_interpolation,
             op10_best_fit_packing,
+            op11_vector_codes,
+            op12_toxicity,
+            op13_fill_in_middle,
         )
     }
 
@@ -116,4 +134,8 @@ _SQL = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return _SQL | {"op8_license_scan": licenses.licence_sql()}
+    return _SQL | {
+        "op8_license_scan": licenses.licence_sql(),
+        "op11_vector_codes": vector_codes.codes_sql(),
+        "op13_fill_in_middle": fill_in_middle.middle_sql(),
+    }

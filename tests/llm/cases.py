@@ -6,7 +6,8 @@ from __future__ import annotations
 CLASHING = (
     "kept keep_id digit size row body n text_key fp fingerprint component_id score predicted "
     "held_out features label unit start d2 piece length part place sequence_id offset tokens "
-    "topic weight probability sampled mix_topic mix_tokens quality_score block role key path"
+    "topic weight probability sampled mix_topic mix_tokens quality_score block role key path form "
+    "prefix_chars middle_chars output toxicity passages vector code error"
 ).split()
 
 LONG = " ".join(f"word{i % 977} and more of it," for i in range(40_000))

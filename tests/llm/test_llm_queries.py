@@ -16,6 +16,6 @@ def test_matches_sql(spark, name):
 
 def test_registered():
     names = entry_point.queries()
-    assert [sum(name.startswith(f"op{n}_") for name in names) for n in range(1, 11)] == [1] * 10
+    assert [sum(name.startswith(f"op{n}_") for name in names) for n in range(1, 14)] == [1] * 13
     assert "pipeline" in names
     assert set(registry.oracle_sql()) <= set(entry_point.oracle_sql())
