@@ -34,6 +34,7 @@ Labels, language, source and id are never inputs of a score.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -174,7 +175,7 @@ def _sum_runs(values: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndar
 class SubwordSoftmax:
     """Bucket vectors ``E`` and a softmax ``W``, ``b`` over the mean vector of a passage."""
 
-    def __init__(self, texts: list[list[list[str]]], labels: np.ndarray, share: float | None = None):
+    def __init__(self, texts: Iterable[list[list[str]]], labels: np.ndarray, share: float | None = None):
         """Train on the passages of texts; ``share`` is that of label 1 in the corpus."""
         self.rate = share if share is not None else float(labels.mean()) if len(labels) else 0.5
         self.fitted = len(set(labels.tolist())) == 2
@@ -191,27 +192,34 @@ class SubwordSoftmax:
     def _prepare(self, texts) -> None:
         """Texts, passages, words and buckets as flat arrays with starts and sizes."""
         number: dict[str, int] = {}
-        passages = [np.array([number.setdefault(w, len(number)) for w in p], np.int64) for t in texts for p in t]
-        self.text_start = np.r_[0, np.cumsum([len(t) for t in texts])]
+        passages, counts = [], []
+        for text in texts:  # one text at a time, so that few words are Python objects
+            passages += [np.array([number.setdefault(w, len(number)) for w in p], np.int32) for p in text]
+            counts.append(len(text))
+        self.text_start = np.r_[0, np.cumsum(counts)]
         self.size = np.array([len(p) for p in passages])
         self.start = np.r_[0, np.cumsum(self.size)]
         self.words = np.concatenate(passages)
+        del passages
         cut = Subwords()
         buckets, owners, vocabulary = [], [], list(number)
+        words = len(number)
+        del number
         for at in range(0, len(vocabulary), 4096):
             _, bucket, owner = cut(" ".join(vocabulary[at : at + 4096]))
             buckets.append(bucket.astype(np.int32))
-            owners.append(owner + at)
+            owners.append((owner + at).astype(np.int32))
+        del vocabulary
         order = np.argsort(np.concatenate(owners), kind="stable")
         self.word_bucket = np.concatenate(buckets)[order]
-        self.word_size = np.bincount(np.concatenate(owners), minlength=len(vocabulary))
+        self.word_size = np.bincount(np.concatenate(owners), minlength=words)
         self.word_start = np.cumsum(self.word_size) - self.word_size
         # What only a few texts hold would be learned by heart; such buckets stay at zero.
-        owner = np.repeat(np.repeat(np.arange(len(texts)), np.diff(self.text_start)), self.size)
-        held = np.unique(owner * len(number) + self.words) % len(number)
-        of_word = np.bincount(held, minlength=len(number))
+        owner = np.repeat(np.repeat(np.arange(len(counts)), counts), self.size)
+        held = np.unique(owner * words + self.words) % words
+        of_word = np.bincount(held, minlength=words)
         of_bucket = np.bincount(self.word_bucket, np.repeat(of_word, self.word_size), BUCKETS)
-        least = max(LEAST_TEXTS, LEAST_SHARE * len(texts))
+        least = max(LEAST_TEXTS, LEAST_SHARE * len(counts))
         self.known = (of_bucket >= least).astype(np.float32)[:, None]
 
     def _passage_logits(self) -> np.ndarray:
@@ -374,7 +382,7 @@ def fit_toxicity(
             .limit(train_rows // 2)
             .collect()
         )
-    passages = [[p.split(" ") if p else [] for p in row["passages"].split("\n")] for row in sample]
+    passages = ([p.split(" ") if p else [] for p in row["passages"].split("\n")] for row in sample)
     return SubwordSoftmax(passages, np.array([row["label"] for row in sample]), share)
 
 
