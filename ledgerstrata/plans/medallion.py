@@ -13,9 +13,9 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ledgerstrata.operators import bronze, dimensions, facts, gold, quality
-from ledgerstrata.sinks.tables import refresh_view, save, touched_years
+from ledgerstrata.sinks.tables import refresh_view, save, stored_bytes, touched_years
 from ledgerstrata.sources.documents import CORRUPT, rejected_documents
-from ledgerstrata.sources.tables import read_table
+from ledgerstrata.sources.tables import read_table, table_path
 
 # Ratios and the time series read the metrics, peers read the ratios.
 GOLD_ORDER = ("company_metrics", "financial_ratios", "peer_comparison", "timeseries")
@@ -78,11 +78,12 @@ def build_dimensions(
 
 def build_facts(spark: SparkSession, root: str) -> None:
     raw = read_table(spark, root, "raw_financials")
+    size = stored_bytes(spark, table_path(root, "raw_financials"))
     financials, submissions = facts.build_fact_financials(raw), facts.build_fact_submissions(raw)
     _together(
         spark,
-        lambda: save(financials, root, "fact_financials"),
-        lambda: save(submissions, root, "fact_submissions"),
+        lambda: save(financials, root, "fact_financials", input_bytes=size),
+        lambda: save(submissions, root, "fact_submissions", input_bytes=size),
     )
 
 
@@ -113,11 +114,12 @@ def build_gold(
 ) -> list[DataFrame]:
     """Refresh the gold tables in dependency order, all years or the given ones."""
     reports: dict[str, DataFrame] = {}
+    size = stored_bytes(spark, table_path(root, "fact_financials"))
 
     def refresh(*names: str) -> None:
         for name in names:
             reports[name] = refresh_view(
-                spark, gold_frame(spark, root, name), root, name, years=years
+                spark, gold_frame(spark, root, name), root, name, years=years, input_bytes=size
             )
 
     refresh("company_metrics")

@@ -368,3 +368,15 @@ TABLES = {
     "peer_comparison": ("gold", PEER_COMPARISON, "fiscal_year", ("sector", "cik")),
     "timeseries": ("gold", TIMESERIES, "fiscal_year", ("cik",)),
 }
+
+# Columns that lookups name but no table is clustered by: they get Bloom filters.
+BLOOM = {
+    "raw_companies": ("ticker",),
+    "dim_companies": ("ticker",),
+    "fact_financials": ("accession_number",),
+    "fact_submissions": ("accession_number",),
+    "company_metrics": ("ticker",),
+    "financial_ratios": ("ticker",),
+    "peer_comparison": ("ticker",),
+    "timeseries": ("ticker",),
+}

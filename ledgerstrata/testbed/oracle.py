@@ -372,6 +372,8 @@ _ORACLE["b1_write_append"] = (
 )
 _ORACLE["b2_partitioned_clustered_write"] = """SELECT fiscal_year AS directory, fiscal_year, concept,
   count(*) AS n, sum(value) AS total, CAST(0 AS BIGINT) AS out_of_order FROM facts GROUP BY ALL"""
+_ORACLE["b2_files_by_range"] = """SELECT CAST(fiscal_year AS INTEGER) AS fiscal_year, count(*) AS n,
+  true AS several_files, CAST(0 AS BIGINT) AS overlapping FROM facts GROUP BY 1"""
 _ORACLE["b3_year_buckets"] = """SELECT CASE WHEN fiscal_year BETWEEN 2000 AND 2030
     THEN CAST(fiscal_year AS VARCHAR) ELSE '__HIVE_DEFAULT_PARTITION__' END AS directory,
   count(*) AS rows, count(DISTINCT fiscal_year) AS years FROM raw GROUP BY ALL"""

@@ -183,6 +183,40 @@ def _(ws):
     )
 
 
+@query("b2_files_by_range")
+def _(ws):
+    """The facts in 40 ranges: per year, files whose ids overlap and rows in them."""
+    ws.layer("silver")
+    path = f"{ws.root}/scratch/facts-by-range"
+
+    def build():
+        facts_ = ws.table("fact_financials")
+        sinks.write_table(
+            facts_, path, partition_by="fiscal_year", cluster_by=["cik", "concept", "end_date"], ranges=40
+        )
+
+    ws._once("b2_ranges", build)
+    files = (
+        read_like(ws, "fact_financials", path)
+        .groupBy("fiscal_year", F.col("_metadata.file_path").alias("file"))
+        .agg(F.count("*").alias("n"), *[f(F.struct("cik", "concept", "end_date")).alias(f.__name__) for f in (F.min, F.max)])
+    )
+    before = Window.partitionBy("fiscal_year").orderBy("min", "max")
+    return (
+        files.withColumn("overlaps", F.lag("max").over(before) >= F.col("min"))
+        .groupBy("fiscal_year")
+        .agg(
+            F.sum("n").alias("n"),
+            (F.count("*") >= 3).alias("several_files"),
+            F.count_if("overlaps").alias("overlapping"),
+        )
+    )
+
+
+def read_like(ws, name, path):
+    return ws.spark.read.schema(TABLES[name][1]).parquet(path)
+
+
 @query("b3_year_buckets")
 def _(ws):
     """Rows per directory of the unchecked facts; years outside the range share one."""
