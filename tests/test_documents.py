@@ -1,14 +1,17 @@
 """Documents: nesting, malformed values, archives, layout."""
 
 import json
+import os
 import zipfile
 from pathlib import Path
 
 import pytest
+from conftest import plan
 from pyspark.sql import Row
 
 from ledgerstrata import sources
 from ledgerstrata.operators import bronze
+from ledgerstrata.sources.archive import MEMBER_SCHEMA
 from ledgerstrata.testbed import filings
 from ledgerstrata.testbed.workspace import workspace
 
@@ -161,6 +164,31 @@ def test_archive_members_are_read_once_by_several_tasks(spark, scratch):
     assert single.count() == 20
 
 
+def test_reading_archives_plans_no_job_and_no_shuffle(spark, scratch):
+    os.makedirs(f"{scratch}/2024/a")
+    os.makedirs(f"{scratch}/2023")
+    for name, cik in (("2024/one", 1), ("2024/a/two", 2), ("2023/three", 3), ("2024/.hidden", 4)):
+        with zipfile.ZipFile(f"{scratch}/{name}.zip", "w") as archive:
+            archive.writestr("d.json", json.dumps(document(cik, assets(fact(val=cik)))))
+    tracker = spark.sparkContext.statusTracker()
+    before = tracker.getJobIdsForGroup(None)
+    members = sources.read_archive(spark, scratch)
+    text = plan(members.select("doc_json"))
+    assert "Exchange" not in text and "zip_members" in text
+    assert tracker.getJobIdsForGroup(None) == before
+    assert members.schema == spark.createDataFrame([], MEMBER_SCHEMA).schema
+
+    def ids(path):
+        rows = sources.parse_documents(sources.read_archive(spark, path)).select("cik").collect()
+        return sorted(r.cik for r in rows)
+
+    assert ids(scratch) == ["1", "2", "3"] and ids(f"{scratch}/20*4") == ["1", "2"]
+    assert ids(f"file:{scratch}/2024/*.zip") == ["1"] and ids(f"file://{scratch}/202[3]") == ["3"]
+    assert ids([f"{scratch}/2023/three.zip", f"{scratch}/2024/a"]) == ["2", "3"]
+    with pytest.raises(Exception, match="missing"):
+        sources.read_archive(spark, f"{scratch}/missing").count()
+
+
 def test_oversized_member_has_its_own_chunk(spark, scratch):
     with zipfile.ZipFile(f"{scratch}/all.zip", "w") as archive:
         for name, size in [("a", 10), ("b", 1000), ("c", 10), ("d", 10)]:
