@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# What a fact is about: of several filings of it the last one counts.
+FACT_KEY = ("cik", "concept", "end_date", "fiscal_year", "fiscal_period")
+
+
 def passed_only(raw_financials: DataFrame) -> DataFrame:
     return raw_financials.where("data_quality_passed")
 
@@ -46,7 +51,7 @@ def latest_filing(facts: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame
     large share of the rows sends one row per task and not all of them.
     ``extra_keys=["unit"]`` keeps different units apart.
     """
-    keys = ["cik", "concept", "end_date", "fiscal_year", "fiscal_period", *extra_keys]
+    keys = [*FACT_KEY, *extra_keys]
     order = [
         F.desc_nulls_last("filing_date"),
         F.desc_nulls_last("accession_number"),
@@ -83,6 +88,29 @@ def build_fact_financials(raw_financials: DataFrame, extra_keys: Sequence[str] =
     )
 
 
+def upsert_facts(
+    stored: DataFrame, raw_financials: DataFrame, batch: DataFrame, extra_keys: Sequence[str] = ()
+) -> DataFrame:
+    """The facts after ``batch`` has arrived, for the years that it touches.
+
+    ``stored`` are the facts and ``raw_financials`` the unchecked rows, the batch
+    included, both of those years only. Keys that the batch does not name keep their
+    stored fact; the others are decided again among all of their filings. The result
+    equals a rebuild of these years.
+    """
+    key = [*FACT_KEY, *extra_keys]
+    named = shape_facts(passed_only(batch)).select(*key).distinct()
+
+    def same(left: DataFrame):
+        return reduce(lambda a, b: a & b, [left[c].eqNullSafe(named[c]) for c in key])
+
+    kept = stored.join(named, same(stored), "left_anti")
+    shaped = shape_facts(passed_only(raw_financials))
+    again = shaped.join(named, same(shaped), "left_semi")
+    decided = add_fact_id(latest_filing(again, extra_keys)).select(*stored.columns)
+    return kept.unionByName(decided)
+
+
 def build_fact_submissions(raw_financials: DataFrame) -> DataFrame:
     """Filing summaries over all bronze rows, flagged ones included."""
 

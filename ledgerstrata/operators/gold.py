@@ -290,3 +290,42 @@ def timeseries(metrics: DataFrame, period_scope: str = "mixed") -> DataFrame:
         )
         .withColumns({**trailing_sums(), **yearly_growth(), **moving_averages()})
     )
+
+
+LOOK_BACK = 4  # rows before its own that a row of the time series depends on
+
+
+def changed_series_years(metrics: DataFrame, changed: DataFrame, period_scope: str = "mixed") -> DataFrame:
+    """Years of the time series in which rows change when ``changed`` (cik, fiscal_year) did.
+
+    These are the changed years themselves and the years of the next rows of the same
+    company, which may lie beyond a gap. One row per year.
+    """
+    periods = {"mixed": PERIODS, "quarterly": QUARTERS}[period_scope]
+    changed = changed.select("cik", F.col("fiscal_year").alias("changed_year")).distinct()
+    rows = metrics.where(F.col("fiscal_period").isin(*periods)).select("cik", "fiscal_year", "fiscal_period")
+    order = Window.partitionBy("cik", "changed_year").orderBy("fiscal_year", "fiscal_period")
+    later = (
+        rows.join(changed, "cik")
+        .where("fiscal_year > changed_year")
+        .withColumn("place", F.row_number().over(order))
+        .where(F.col("place") <= LOOK_BACK)
+    )
+    return later.select("fiscal_year").union(changed.select("changed_year")).distinct()
+
+
+def timeseries_of_years(metrics: DataFrame, years: list[int], period_scope: str = "mixed") -> DataFrame:
+    """The rows of :func:`timeseries` of some years, without windows over the whole history.
+
+    Rows look back at most ``LOOK_BACK`` rows of their company. Two years nearly always
+    hold these; only companies that report less are looked up further back.
+    """
+    periods = {"mixed": PERIODS, "quarterly": QUARTERS}[period_scope]
+    reported = metrics.where(F.col("fiscal_period").isin(*periods))
+    first, last = min(years), max(years)
+    near = reported.where(F.col("fiscal_year").between(first - 2, last))
+    enough = F.count_if(F.col("fiscal_year") < first) >= LOOK_BACK
+    sparse = near.groupBy("cik").agg(enough.alias("enough")).where(~F.col("enough"))
+    far = reported.where(F.col("fiscal_year") < first - 2)
+    rows = near.unionByName(far.join(sparse, "cik", "left_semi"))
+    return timeseries(rows, period_scope).where(F.col("fiscal_year").isin(years))

@@ -9,10 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerstrata.operators import bronze, dimensions, facts, gold, quality
+from ledgerstrata.schemas import TABLES
+from ledgerstrata.sinks import catalog
 from ledgerstrata.sinks.tables import refresh_view, save, stored_bytes, touched_years
 from ledgerstrata.sources.documents import CORRUPT, rejected_documents
 from ledgerstrata.sources.tables import read_table, table_path
@@ -96,17 +101,21 @@ def build_silver(spark: SparkSession, root: str, **enrichment: DataFrame | None)
     )
 
 
-def gold_frame(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The defining frame of a gold table over the stored tables it reads."""
+def gold_frame(
+    spark: SparkSession, root: str, name: str, read: Callable[[str], DataFrame] | None = None
+) -> DataFrame:
+    """The defining frame of a gold table over the stored tables it reads.
+
+    ``read`` gives a table by name, by default the one stored under ``root``.
+    """
+    read = read or (lambda table: read_table(spark, root, table))
     if name == "company_metrics":
-        return gold.company_metrics(
-            read_table(spark, root, "fact_financials"), read_table(spark, root, "dim_companies")
-        )
+        return gold.company_metrics(read("fact_financials"), read("dim_companies"))
     if name == "financial_ratios":
-        return gold.financial_ratios(read_table(spark, root, "company_metrics"))
+        return gold.financial_ratios(read("company_metrics"))
     if name == "peer_comparison":
-        return gold.peer_comparison(read_table(spark, root, "financial_ratios"))
-    return gold.timeseries(read_table(spark, root, "company_metrics"))
+        return gold.peer_comparison(read("financial_ratios"))
+    return gold.timeseries(read("company_metrics"))
 
 
 def build_gold(
@@ -140,6 +149,70 @@ def refresh_touched(spark: SparkSession, root: str, new_facts: DataFrame) -> lis
     return build_gold(spark, root, years=years) if years else []
 
 
+# --- published tables ----------------------------------------------------------
+
+
+def publish(spark: SparkSession, root: str, database: str) -> None:
+    """Enter every declared table under ``root`` in the catalog, see ``sinks.catalog``."""
+    for name in TABLES:
+        catalog.publish_table(spark, root, name, database)
+
+
+def upsert_published(spark: SparkSession, root: str, database: str, batch: DataFrame) -> list[int]:
+    """Take late filings into the published facts; returns the fiscal years that changed.
+
+    ``batch`` are rows of ``raw_financials`` that have been appended to that table.
+    Stored facts and unchecked rows are read of the touched years only.
+    """
+    passed = facts.passed_only(batch)
+    years = sorted(row.fiscal_year for row in touched_years(passed).collect())
+    if not years:
+        return years
+    raw = read_table(spark, root, "raw_financials", years=(years[0], years[-1]))
+    stored = catalog.read_published(spark, database, "fact_financials")
+    frame = facts.upsert_facts(
+        stored.where(F.col("fiscal_year").isin(years)), raw.where(F.col("fiscal_year").isin(years)), batch
+    )
+    catalog.switch_years(spark, frame, root, "fact_financials", database, years)
+    return years
+
+
+def refresh_published(
+    spark: SparkSession, root: str, database: str, new_facts: DataFrame
+) -> list[DataFrame]:
+    """Switch the gold years that a batch of facts changes; one report per view.
+
+    A view that fails keeps what it had, and so do those computed from it; their
+    reports say so and give what is still published. Of the time series only years in
+    which a row changes are written.
+    """
+    changed = new_facts.where("fiscal_year IS NOT NULL").select("cik", "fiscal_year").distinct()
+    years = [row.fiscal_year for row in touched_years(new_facts).collect()]
+    if not years:
+        return []
+
+    def read(name: str) -> DataFrame:
+        return catalog.read_published(spark, database, name)
+
+    reports, failures = [], {}
+    for name in GOLD_ORDER:
+        try:
+            source = {"company_metrics": None, "peer_comparison": "financial_ratios"}.get(name, "company_metrics")
+            if source in failures:
+                raise failures[source]
+            if name == "timeseries":
+                metrics = read("company_metrics")
+                some = [row.fiscal_year for row in gold.changed_series_years(metrics, changed).collect()]
+                frame = gold.timeseries_of_years(metrics, some)
+            else:
+                some, frame = years, gold_frame(spark, root, name, read)
+            reports.append(catalog.switch_years(spark, frame, root, name, database, some))
+        except (PySparkException, Py4JJavaError) as error:
+            failures[name] = error
+            reports.append(catalog.failed_report(spark, database, name, error))
+    return reports
+
+
 def run(
     spark: SparkSession,
     documents: DataFrame,

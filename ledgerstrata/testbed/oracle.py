@@ -397,6 +397,19 @@ _ORACLE["b4_refresh_timeseries"] = _refreshed("timeseries", "series", "fiscal_ye
     extra="""UNION ALL SELECT CAST(2009 AS INTEGER), count(*), sum(revenue)
   FROM series WHERE fiscal_year = 2022"""
 )
+_ORACLE["b4_published_refresh"] = """SELECT CAST(fiscal_year AS INTEGER) AS fiscal_year,
+  fiscal_year = 2020 OR fiscal_year IN (SELECT fiscal_year FROM (
+    SELECT fiscal_year, row_number() OVER (PARTITION BY cik ORDER BY fiscal_year, fiscal_period) AS place
+    FROM metrics WHERE fiscal_year > 2020 AND cik IN (
+      SELECT cik FROM facts WHERE fiscal_year = 2020 AND cik LIKE '%3')) WHERE place <= 4) AS switched,
+  count(*) AS n, sum(revenue) AS revenue, sum(ttm_revenue) AS ttm_revenue FROM (
+  SELECT fiscal_year, revenue, sum(revenue) OVER (PARTITION BY cik ORDER BY fiscal_year, fiscal_period
+    ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS ttm_revenue FROM (
+    SELECT * REPLACE (CASE WHEN cik LIKE '%3' AND fiscal_year = 2020 THEN revenue * 3 ELSE revenue END AS revenue)
+    FROM metrics)) GROUP BY 1, 2"""
+_ORACLE["e5_late_filings"] = """SELECT concept, fiscal_year, count(*) AS n,
+  sum(CASE WHEN fiscal_year = 2022 AND concept = 'Assets' THEN value + 1 ELSE value END) AS total
+FROM facts GROUP BY concept, fiscal_year"""
 _ORACLE["b5_table_sizes"] = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {cte}"
     for name, cte in {
@@ -514,6 +527,8 @@ for _name, _group in {
 }.items():
     _ORACLE[_name] = f"SELECT cik, fiscal_year, fiscal_period, {', '.join(_group)} FROM series"
 _ORACLE["f17_timeseries"] = "SELECT * FROM series"
+_ORACLE["f2_metrics_from_buckets"] = "SELECT * FROM metrics"
+_ORACLE["f17_timeseries_from_buckets"] = "SELECT * FROM series"
 _ORACLE["f17_timeseries_quarterly"] = "SELECT * FROM series_q"
 
 

@@ -273,6 +273,93 @@ def _(ws):
     return _refreshed(ws, "timeseries", [2022])
 
 
+def _published(ws, tag):
+    """A copy of the lake under catalog names; its folder and database."""
+    root, database = f"{ws.root}/scratch/{tag}", f"{tag}_{ws.tag}"
+
+    def build():
+        ws.layer("gold")
+        for name in TABLES:
+            medallion.save(ws.table(name), root, name)
+        medallion.publish(ws.spark, root, database)
+
+    ws._once(f"publish_{tag}", build)
+    return root, database
+
+
+@query("b4_published_refresh")
+def _(ws):
+    """One company restates 2020 with three times its values; only changed years are switched."""
+    root, database = _published(ws, "restated")
+    mine = F.col("cik").endswith("3") & (F.col("fiscal_year") == 2020)
+
+    def build():
+        facts_ = ws.table("fact_financials")
+        restated = facts_.withColumn("value", F.when(mine, F.col("value") * 3).otherwise(F.col("value")))
+        sinks.switch_years(ws.spark, restated, root, "fact_financials", database, [2020])
+        medallion.refresh_published(ws.spark, root, database, facts_.where(mine))
+
+    ws._once("refresh_published", build)
+    series_ = sinks.read_published(ws.spark, database, "timeseries")
+    loaded = F.col("_metadata.file_path").contains(".loads/")
+    return series_.groupBy("fiscal_year", loaded.alias("switched")).agg(
+        F.count("*").alias("n"), F.sum("revenue").alias("revenue"), F.sum("ttm_revenue").alias("ttm_revenue")
+    )
+
+
+@query("e5_late_filings")
+def _(ws):
+    """Filings of 2022 that arrive later are taken in without the rows of other years."""
+    root, database = _published(ws, "late")
+
+    def build():
+        rows = ws.table("raw_financials").where("fiscal_year = 2022 AND concept IN ('Assets', 'Liabilities')")
+        restated = F.col("concept") == "Assets"
+        later = rows.withColumns(
+            {
+                "value": F.col("value") + 1,
+                # Only the assets are filed after what is stored.
+                "accession_number": F.when(restated, F.concat("accession_number", F.lit("-A"))).otherwise(""),
+                "filed_date": F.when(
+                    restated, F.date_add(F.col("filed_date").try_cast("date"), 7300).cast("string")
+                ),
+            }
+        )
+        path = f"{root}/batch"
+        later.write.mode("overwrite").parquet(path)
+        batch = ws.spark.read.schema(TABLES["raw_financials"][1]).parquet(path)
+        medallion.save(batch, root, "raw_financials", mode="append")
+        medallion.upsert_published(ws.spark, root, database, batch)
+
+    ws._once("upsert_published", build)
+    return money_by(sinks.read_published(ws.spark, database, "fact_financials"), "concept", "fiscal_year")
+
+
+def _bucketed(ws, name, partition_by=None):
+    database = f"bucketed_{ws.tag}"
+
+    def build():
+        ws.layer("gold")
+        count = sinks.bucket_count(ws.spark, table_path(ws.root, "fact_financials"))
+        path = f"{ws.root}/scratch/bucketed/{name}"
+        sinks.save_bucketed(
+            ws.table(name), database, name, path, key="cik", buckets=count, partition_by=partition_by
+        )
+
+    ws._once(f"bucketed_{name}", build)
+    return sinks.read_published(ws.spark, database, name)
+
+
+@query("f2_metrics_from_buckets")
+def _(ws):
+    return gold.company_metrics(_bucketed(ws, "fact_financials", "fiscal_year"), _bucketed(ws, "dim_companies"))
+
+
+@query("f17_timeseries_from_buckets")
+def _(ws):
+    return gold.timeseries(_bucketed(ws, "company_metrics", "fiscal_year"))
+
+
 @query("b5_table_sizes")
 def _(ws):
     ws.layer("gold")

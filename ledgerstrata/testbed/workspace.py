@@ -44,6 +44,7 @@ class Workspace:
         self.spark, self.sf_dir, self.root = spark, sf_dir, root
         self.facts_path = f"{root}/landing/companyfacts/bulk/{BULK_YEAR}"
         self.submissions_path = f"{root}/landing/submissions/bulk/{BULK_YEAR}"
+        self.tag = root.rsplit("/", 1)[-1]
         self.archive_path = f"{root}/landing/archives"
         self._built: set[str] = set()
 
