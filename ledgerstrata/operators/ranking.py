@@ -1,21 +1,18 @@
 """Exact ranks and quantiles inside groups of any size.
 
-A window ordered over a whole group would sort that group in one task. Instead
-every group is cut into value ranges, however large it is, in one plan that needs
-no job beforehand:
-
-1. one row in ``SLOT_ROWS``, chosen by a hash of its key, gives a cut value, so
-   the number of cuts follows the rows; a group below that size has hardly any;
-2. every row gets a slot: *between* two cuts, or *on* a cut. All rows on a cut
-   share one value, so they need no order and are spread over salts, as many as
-   the value was chosen times;
-3. one small aggregation counts rows per slot, and a running sum over the slots
-   gives the number of rows before each;
-4. ``rank()`` inside a slot plus that offset is the rank in the group.
-
-The cuts only decide how evenly the work is spread. The ranks are exact for any
-choice, and because the choice is a function of the data a lost task recomputes
-the same slots. A value held by many rows is almost surely a cut, and so spread.
+A window ordered over a whole group would sort that group in one task. Instead the
+ranks are prefix sums over a radix histogram:
+
+1. one aggregation counts the rows of every (group, value), per task first, so a value
+   that many rows share is one row from there on;
+2. the leading digit of a value, its sign, exponent and first bits of the fraction,
+   keeps the order of values. Counts per group and digit, summed up in order, tell how
+   many rows lie below each digit; there are at most 2^24 of them whatever the rows;
+3. a digit with more than ``BIN_VALUES`` values is refined by the next bits in the
+   same way. What is left of a value after two digits has 2^20 possibilities, which
+   bounds every ordered window;
+4. the rows of the group below a value are the sum of the three parts, exactly, and
+   each row meets the rank of its value in one join. The rows are read twice.
 """
 
 from __future__ import annotations
@@ -26,121 +23,113 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLOT_ROWS = 1 << 16
-# Rows without a value are never cuts; they share one rank and are spread over these.
-NULL_SALTS = 64
+BIN_VALUES = 1 << 14
+FIRST_BITS, NEXT_BITS = 12, 20  # of the 52 bits of a fraction
+LEAST_EXPONENT = -1022
 
 
-def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
+def _right(key: str) -> str:
+    return f"_right_{key}"
 
 
-def _cuts_below(cuts: Column, value: Column) -> Column:
-    """How many of the sorted ``cuts`` are smaller than ``value``, by halving."""
-    size = F.size(cuts)
-    steps = F.sequence(F.lit(1), F.ceil(F.log2(size + 1)).cast("int"))
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Equal keys, NULLs too; ``right`` has them under other names."""
+    return reduce(lambda a, b: a & b, [left[key].eqNullSafe(right[_right(key)]) for key in keys])
 
-    def halve(state: Column, _) -> Column:
-        middle = F.shiftright(state["low"] + state["high"], 1)
-        smaller = F.get(cuts, middle)["value"] < value
-        more = state["low"] < state["high"]
-        return F.struct(
-            F.when(more & smaller, middle + 1).otherwise(state["low"]).alias("low"),
-            F.when(more & ~smaller, middle).otherwise(state["high"]).alias("high"),
-        )
-
-    start = F.struct(F.lit(0).alias("low"), size.alias("high"))
-    return F.when(size > 0, F.aggregate(steps, start, halve)["low"]).otherwise(0)
 
+def with_digits(df: DataFrame, value: str) -> DataFrame:
+    """Append ``_first`` and ``_next``, the digits of a double; pairs of them never order
+    against the values. NULL lies below all numbers and NaN above, as in an ordering.
 
-def rows_below(
-    df: DataFrame, group: Sequence[str], value: str, key: Sequence[str], slot_rows: int = SLOT_ROWS
-) -> DataFrame:
-    """Append ``below`` (rows of the group with a smaller value, NULL smallest)
-    and ``group_rows``, ``group_nulls``.
-
-    ``key`` names columns that tell rows apart; they only feed the hash. ``df``
-    is read three times and should be a stored table or cheap to recompute.
+    The logarithm may be off by one next to a power of two, which a comparison mends.
+    Scaling by a power of two is exact, so digits are those of the number itself.
     """
-    group, key = list(group), list(key)
-    token = F.xxhash64(*key)
-
-    # 1. Cut values and how often each was chosen.
-    chosen = df.where(F.col(value).isNotNull() & (F.pmod(token, F.lit(slot_rows)) == 0))
-    cut_table = (
-        chosen.groupBy(*group, value)
-        .agg(F.count("*").alias("_chosen"))
-        .groupBy(*group)
-        .agg(
-            F.array_sort(
-                F.collect_list(F.struct(F.col(value).alias("value"), F.col("_chosen").alias("times")))
-            ).alias("_cuts")
-        )
+    huge, fraction = 1 << 40, 1 << FIRST_BITS
+    steps = {
+        "_double": f"double(`{value}`)",
+        "_size": "abs(_double)",
+        "_near": "int(least(floor(log2(_size)), 1023))",
+        "_power": "pow(2D, _near)",
+        "_exponent": f"""CASE WHEN _size < double('{2.0**LEAST_EXPONENT!r}') THEN {LEAST_EXPONENT}
+            WHEN _size < _power THEN _near - 1 WHEN _size / 2D >= _power THEN _near + 1 ELSE _near END""",
+        "_part": f"_size / pow(2D, _exponent) * {fraction}D",
+        "_sign": "CASE WHEN _double < 0 THEN -1L ELSE 1L END",
+        "_first": f"""CASE WHEN _double IS NULL THEN -{2 * huge}L WHEN isnan(_double) THEN {2 * huge}L
+            WHEN _size = double('Infinity') THEN _sign * {huge}L
+            ELSE _sign * (bigint(_exponent - {LEAST_EXPONENT}) * {2 * fraction}L + floor(_part) + 1L) END""",
+        "_next": f"""CASE WHEN _double IS NULL OR isnan(_double) OR _size = double('Infinity') THEN 0L
+            ELSE _sign * floor((_part - floor(_part)) * {1 << NEXT_BITS}D) END""",
+    }
+    return df.selectExpr("*", *[f"{step} AS {name}" for name, step in steps.items()]).select(
+        *df.columns, "_first", "_next"
     )
 
-    # 2. Slots: -1 for NULL, 2i between cuts, 2i+1 on a cut.
-    left = df.select("*", token.alias("_token"))
-    cuts = F.coalesce("_cuts", F.array().cast(cut_table.schema["_cuts"].dataType))
-    placed = (
-        left.join(cut_table, _same(left, cut_table, group), "left")
-        .select(*[left[c] for c in left.columns], cuts.alias("_cuts"))
-        .withColumn("_position", _cuts_below(F.col("_cuts"), F.col(value)))
-        .withColumn("_cut", F.get("_cuts", F.col("_position")))
-        .withColumn("_on", F.coalesce(F.col("_cut.value") == F.col(value), F.lit(False)))
-    )
-    spread = F.when(F.col("_on"), F.col("_cut.times")).otherwise(F.lit(1))
-    slot = F.when(F.col(value).isNull(), F.lit(-1)).otherwise(
-        F.col("_position") * 2 + F.col("_on").cast("int")
-    )
-    slotted = placed.select(
-        *df.columns,
-        slot.alias("_slot"),
-        spread.alias("_spread"),
-        # Rows without a value share one rank, as rows on a cut do.
-        F.when(F.col(value).isNull(), F.pmod("_token", F.lit(NULL_SALTS)))
-        .when(F.col("_on"), F.pmod(F.shiftright("_token", 20), spread))
-        .otherwise(F.lit(0))
-        .alias("_salt"),
-    )
 
-    # 3. Rows before each slot, once per salt.
-    ordered = Window.partitionBy(*group).orderBy("_slot")
-    whole = Window.partitionBy(*group)
-    salts = F.when(F.col("_slot") == -1, F.lit(NULL_SALTS)).otherwise(F.col("_spread"))
-    offsets = (
-        slotted.groupBy(*group, "_slot")
-        .agg(F.count("*").alias("_rows"), F.max("_spread").alias("_spread"))
+def value_ranks(
+    df: DataFrame, group: Sequence[str], value: str, bin_values: int = BIN_VALUES
+) -> DataFrame:
+    """Per group and distinct value: ``rows``, ``below`` (rows with a smaller value, NULL
+    smallest), ``group_rows`` and ``group_nulls``. ``df`` is read once."""
+    group = list(group)
+    counts = with_digits(df.groupBy(*group, value).agg(F.count("*").alias("rows")), value)
+
+    def sum_below(rows: str, over: Sequence[str], digit: str) -> Column:
+        return F.sum(rows).over(Window.partitionBy(*over).orderBy(digit)) - F.col(rows)
+
+    whole, first_key = Window.partitionBy(*group), [*group, "_first"]
+    nulls = F.sum(F.when(F.col(value).isNull(), F.col("rows")).otherwise(0))
+    firsts = (
+        counts.groupBy(*first_key)
+        .agg(F.sum("rows").alias("_rows"), F.count("*").alias("_values"), nulls.alias("_nulls"))
         .select(
-            *group,
-            "_slot",
-            salts.alias("_salts"),
-            (F.sum("_rows").over(ordered) - F.col("_rows")).alias("_before"),
+            *[F.col(c).alias(_right(c)) for c in first_key],
+            (F.col("_values") > bin_values).alias("_large"),
+            sum_below("_rows", group, "_first").alias("_below_first"),
             F.sum("_rows").over(whole).alias("group_rows"),
-            F.sum(F.when(F.col("_slot") == -1, F.col("_rows")).otherwise(0))
-            .over(whole)
-            .alias("group_nulls"),
+            F.sum("_nulls").over(whole).alias("group_nulls"),
         )
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)))
     )
-
-    # 4. Rank inside the slot.
-    inside = Window.partitionBy(*group, "_slot", "_salt").orderBy(value)
-    local = slotted.withColumn("_local", F.rank().over(inside) - F.lit(1))
-    on = _same(local, offsets, [*group, "_slot", "_salt"])
-    return local.join(offsets, on).select(
-        *[local[c] for c in df.columns],
-        (F.col("_before") + F.col("_local")).alias("below"),
-        "group_rows",
-        "group_nulls",
+    kept = [*group, value, "rows", "_first", "_large", "_below_first", "group_rows", "group_nulls"]
+    keyed = counts.join(firsts, _same(counts, firsts, first_key)).select(
+        *kept, F.when(F.col("_large"), F.col("_next")).otherwise(F.lit(0)).alias("_next")
+    )
+    next_key = [*first_key, "_next"]
+    nexts = (
+        keyed.where("_large")
+        .groupBy(*next_key)
+        .agg(F.sum("rows").alias("_rows"))
+        .select(
+            *[F.col(c).alias(_right(c)) for c in next_key],
+            sum_below("_rows", first_key, "_next").alias("_below_next"),
+        )
+    )
+    inside = sum_below("rows", next_key, value)
+    below = F.col("_below_first") + F.coalesce("_below_next", F.lit(0)) + inside
+    return keyed.join(nexts, _same(keyed, nexts, next_key), "left").select(
+        *group, value, "rows", below.alias("below"), "group_rows", "group_nulls"
     )
 
 
+def rows_below(
+    df: DataFrame, group: Sequence[str], value: str, bin_values: int = BIN_VALUES
+) -> DataFrame:
+    """Append ``below`` (rows of the group with a smaller value, NULL smallest)
+    and ``group_rows``, ``group_nulls``.
+
+    ``df`` is read twice and should be a stored table or cheap to recompute.
+    """
+    key, found = [*group, value], ("below", "group_rows", "group_nulls")
+    ranks = value_ranks(df, group, value, bin_values)
+    ranks = ranks.select(*[F.col(c).alias(_right(c)) for c in key], *found)
+    return df.join(ranks, _same(df, ranks, key)).select(*df.columns, *found)
+
+
 def percent_ranks(
     df: DataFrame,
     group: Sequence[str],
     key: Sequence[str],
     metrics: dict[str, str],
-    slot_rows: int = SLOT_ROWS,
+    bin_values: int = BIN_VALUES,
 ) -> DataFrame:
     """``PERCENT_RANK() * 100`` of several metrics within the same groups, NULL lowest.
 
@@ -152,7 +141,7 @@ def percent_ranks(
     long = df.select(*ids, *metrics.values()).unpivot(
         ids, list(metrics.values()), "_metric", "_value"
     )
-    ranked = rows_below(long, [*group, "_metric"], "_value", key, slot_rows)
+    ranked = rows_below(long, [*group, "_metric"], "_value", bin_values)
     others = F.col("group_rows") - F.lit(1)
     share = F.when(others > 0, F.col("below").cast("double") / others).otherwise(F.lit(0.0))
     ranked = ranked.withColumn("_share", share * F.lit(100))
@@ -168,17 +157,16 @@ def group_quantiles(
     df: DataFrame,
     group: Sequence[str],
     value: str,
-    key: Sequence[str],
     probabilities: dict[str, float],
-    slot_rows: int = SLOT_ROWS,
+    bin_values: int = BIN_VALUES,
 ) -> DataFrame:
     """Exact interpolated quantiles of the non-NULL values, one row per group.
 
     The i-th smallest value is the largest one with at most i values below it,
-    so once ``below`` is known every quantile is a plain maximum. Between two
-    values the weights are those of the built-in exact percentile.
+    so once ``below`` is known every quantile is a plain maximum over the distinct
+    values. Between two values the weights are those of the built-in exact percentile.
     """
-    present = rows_below(df.where(F.col(value).isNotNull()), group, value, key, slot_rows)
+    present = value_ranks(df.where(F.col(value).isNotNull()), group, value, bin_values)
     last = F.col("group_rows") - F.lit(1)
     aggregates = []
     for name, p in probabilities.items():

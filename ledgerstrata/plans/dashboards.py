@@ -647,10 +647,7 @@ def growth_boxplot(series: DataFrame, companies: DataFrame) -> DataFrame:
         .select("cik", "fiscal_year", "fiscal_period", growth.alias("growth"))
         .join(sectors, "cik")
     )
-    key = ["cik", "fiscal_year", "fiscal_period"]
-    box = group_quantiles(
-        rows, ["sector"], "growth", key, {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    )
+    box = group_quantiles(rows, ["sector"], "growth", {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = (F.col("q3") - F.col("q1")) * 1.5
     outside = (F.col("growth") < F.col("q1") - reach) | (F.col("growth") > F.col("q3") + reach)
     # The box is constant per sector; aggregating it along keeps one shuffle.
