@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerstrata.functions import statement_type
-from ledgerstrata.schemas import PARSE_YEAR_RANGE, STATEMENTS, VALID_FORMS, VALID_UNITS
+from ledgerstrata.schemas import (
+    CRITICAL_COLUMNS,
+    FACT_FIELDS,
+    PARSE_YEAR_RANGE,
+    STATEMENTS,
+    VALID_FORMS,
+    VALID_UNITS,
+)
 from ledgerstrata.sources.documents import CORRUPT, valid_documents
 
 
@@ -49,6 +57,15 @@ def extract_submission_info(submissions: DataFrame) -> DataFrame:
     )
 
 
+def _reported_columns() -> list[Column]:
+    """The fields of a reported fact as typed columns; what cannot be cast is NULL."""
+    columns = []
+    for name, (field, kind) in FACT_FIELDS.items():
+        value = F.col("fact").getField(field)
+        columns.append((value if kind == "string" else value.try_cast(kind)).alias(name))
+    return columns
+
+
 def flatten_facts(documents: DataFrame) -> DataFrame:
     """concept -> units -> facts[] to one row per reported value.
 
@@ -63,21 +80,7 @@ def flatten_facts(documents: DataFrame) -> DataFrame:
         )
         .select("cik", "company_name", "concept", F.explode("body.units").alias("unit", "reported"))
         .select("cik", "company_name", "concept", "unit", F.explode("reported").alias("fact"))
-        .select(
-            "cik",
-            "company_name",
-            "concept",
-            "unit",
-            F.col("fact.start").alias("start_date"),
-            F.col("fact.end").alias("end_date"),
-            F.col("fact.val").try_cast("double").alias("value"),
-            F.col("fact.accn").alias("accession_number"),
-            F.col("fact.fy").try_cast("int").alias("fiscal_year"),
-            F.col("fact.fp").alias("fiscal_period"),
-            F.col("fact.form").alias("form"),
-            F.col("fact.filed").alias("filed_date"),
-            F.col("fact.frame").alias("frame"),
-        )
+        .select("cik", "company_name", "concept", "unit", *_reported_columns())
     )
 
 
@@ -100,10 +103,8 @@ def categorize_concepts(
 
 
 def null_critical() -> Column:
-    """Any of company, concept, value, year missing."""
-    return (
-        F.col("cik").isNull() | F.col("concept").isNull() | F.col("value").isNull() | F.col("fiscal_year").isNull()
-    )
+    """Any of the columns that a fact is nothing without is missing."""
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in CRITICAL_COLUMNS])
 
 
 def flag_null_critical(facts: DataFrame) -> DataFrame:

@@ -270,10 +270,12 @@ def company_id(companies: DataFrame, ticker: str) -> Column:
 
     Tables are clustered by company id, not by ticker: a lookup by id skips the
     row groups of all other companies, and this turns a ticker into one. These
-    pages show one company: of several that share the ticker that with the least
-    id. Another is shown by giving its id.
+    pages show one company: a ticker that several share is an error, which asks for
+    an id.
     """
-    return companies.where(F.col("ticker") == ticker).agg(F.min("cik")).scalar()
+    several = F.raise_error(F.lit(f"ticker {ticker} names several companies; give a cik")).cast("string")
+    only = F.when(F.min("cik") < F.max("cik"), several).otherwise(F.min("cik"))
+    return companies.where(F.col("ticker") == ticker).agg(only).scalar()
 
 
 def select_company(

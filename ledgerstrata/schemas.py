@@ -90,6 +90,20 @@ METRIC_CONCEPTS = {
 QUARTERS = ("Q1", "Q2", "Q3", "Q4")
 PERIODS = QUARTERS + ("FY",)
 
+# Columns of a flat fact: the field of the document that each is read from, and its type.
+FACT_FIELDS = {
+    "start_date": ("start", "string"),
+    "end_date": ("end", "string"),
+    "value": ("val", "double"),
+    "accession_number": ("accn", "string"),
+    "fiscal_year": ("fy", "int"),
+    "fiscal_period": ("fp", "string"),
+    "form": ("form", "string"),
+    "filed_date": ("filed", "string"),
+    "frame": ("frame", "string"),
+}
+CRITICAL_COLUMNS = ("cik", "concept", "value", "fiscal_year")
+
 # Bounds of the two year checks: parse-time flag, and the stored-table check.
 PARSE_YEAR_RANGE = (1900, 2100)
 TABLE_YEAR_RANGE = (2000, 2030)

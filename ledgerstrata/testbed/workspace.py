@@ -8,7 +8,6 @@ lineage: an executor lost later costs a re-read, not a rebuild.
 from __future__ import annotations
 
 import hashlib
-import tempfile
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,24 +16,12 @@ from pyspark.sql import functions as F
 from ledgerstrata.operators.bronze import extract_submission_info
 from ledgerstrata.plans import medallion
 from ledgerstrata.sources import read_documents, read_submissions, read_table, valid_documents
+from ledgerstrata.storage import shared_root
 from ledgerstrata.testbed import filings
 
 BULK_YEAR = 2024
 _LOCK = threading.RLock()
 _OPEN: dict[tuple[str, str], "Workspace"] = {}
-_LOCAL_ROOT: list[str] = []
-
-
-def shared_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a scratch folder only in local mode."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if not _LOCAL_ROOT:
-        _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="run-ledgerstrata-"))
-    return _LOCAL_ROOT[0]
 
 
 class Workspace:
