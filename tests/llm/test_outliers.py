@@ -5,6 +5,7 @@ import cases
 import numpy as np
 
 from ledgerstrata.llm import outliers
+from ledgerstrata.llm.common import stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -55,47 +56,91 @@ def test_cutoff_rejects_what_the_distances_separate(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     rows = outliers.quality_rules(docs).join(labels.select("doc_id", "quality"), "doc_id").collect()
-    assert all(r.kept == (not r.base_failed and (r.distance or 0) <= 15.0863) for r in rows)
+    assert all(r.kept == (not r.base_failed and (r.distance or 0) <= 16.2662) for r in rows)
     bad = [r.kept for r in rows if r.quality == 0]
     good = [r.kept for r in rows if r.quality == 1 and not r.base_failed]
     assert sum(bad) <= 0.05 * len(bad) and sum(good) >= 0.99 * len(good)
 
 
+def test_the_scatter_decides_verdicts(spark):
+    """Medians and absolute deviations in place of the estimates give other verdicts."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    statistics = stored(outliers.document_statistics(docs), "test-statistics")
+    named = stored(statistics.join(outliers._units(statistics), ["lang", "source"]), "test-named")
+    rows = stored(outliers.scaled_vectors(named.where("unit IS NOT NULL AND NOT base_failed")), "test-vectors")
+    names = [f"x{i}" for i in range(outliers.P)]
+    robust = outliers.robust_estimates(rows.select("unit", *names))
+    judged = outliers._with_distance(rows, robust).toPandas()
+    x = judged[names].to_numpy() / outliers.UNIT
+    plain = np.empty(len(x))
+    for unit in judged.unit.unique():
+        mine = (judged.unit == unit).to_numpy()
+        middle = np.median(x[mine], 0)
+        apart = np.median(np.abs(x[mine] - middle), 0) * 1.4826
+        plain[mine] = (((x[mine] - middle) / apart) ** 2).sum(1)
+    cutoff = outliers.chi2_quantile(outliers.QUANTILE, outliers.P)
+    rejected, other = (judged.d2 > cutoff).to_numpy(), plain > cutoff
+    assert (rejected != other).sum() >= 0.03 * rejected.sum()
+    # No floor takes part: every spread is above it.
+    floors = outliers._floors(outliers._spreads(rows), None)
+    low = [f"sqrt({'+'.join(f'l{i}_{k}*l{i}_{k}' for k in range(i + 1))}) <= f{i}" for i in range(outliers.P)]
+    assert robust.join(floors, "unit").where(" OR ".join(low)).isEmpty()
+
+
 # --- the estimator against a plain version in numpy ------------------------------------------
 
 
 def brute_estimate(x):
-    """The same concentration steps on one group; ``x`` in 1/1024 units."""
-    floors = np.diag([outliers.FLOORS[name] ** 2 for name in outliers.STATISTICS])
+    """The same starts and concentration steps on one group; ``x`` in 1/1024 units."""
     y = x / outliers.UNIT
-    p = y.shape[1]
-    near = outliers.chi2_quantile(outliers.COVERAGE, p)
-    scale = outliers.COVERAGE / outliers._chi2_below(near, p + 2)
-    middle = np.sort(x, 0)[(len(x) - 1) // 2]
-    apart = np.sort(np.abs(x - middle), 0)[(len(x) - 1) // 2] / outliers.UNIT * 1.4826
-    best = None
-    for mean, scatter in (
-        (middle / outliers.UNIT, np.diag(apart**2)), (y.mean(0), np.cov(y.T, bias=True))
-    ):
-        for _ in range(outliers.STEPS):
-            away = y - mean
-            d2 = np.einsum("ij,jk,ik->i", away, np.linalg.inv(scatter + floors), away)
-            classes = np.floor(np.log2(d2 + 1e-9) * outliers.CLASSES)
-            reach = np.sort(classes)[int(np.ceil(len(y) * outliers.COVERAGE)) - 1]
-            inner = y[classes <= reach]
-            mean, scatter = inner.mean(0), np.cov(inner.T, bias=True) * scale
-        size = np.linalg.slogdet(scatter + floors)[1]
-        if best is None or size < best[0] - 1e-12:
-            best = size, mean, scatter + floors
-    return best[1], best[2]
+    n, p = y.shape
+
+    def consistent(rows, share):
+        reach = outliers.chi2_quantile(share, p)
+        scatter = np.cov(rows.T, bias=True) * share / outliers._chi2_below(reach, p + 2)
+        return rows.mean(0), floored(scatter)
+
+    def floored(scatter):
+        out = scatter.copy()
+        np.fill_diagonal(out, np.maximum(np.diag(out), floors**2))
+        return out
+
+    def distances(mean, scatter):
+        away = y - mean
+        return np.einsum("ij,jk,ik->i", away, np.linalg.inv(scatter), away)
+
+    middle = np.sort(x, 0)[(n - 1) // 2] / outliers.UNIT
+    apart = np.sort(np.abs(y - middle), 0)[(n - 1) // 2] * 1.4826
+    floors = np.maximum(outliers.FLOOR_SHARE * apart, 1 / outliers.UNIT)
+    apart = np.maximum(apart, floors)
+    scores = np.rint(np.tanh((y - middle) / apart) * outliers.UNIT)
+    starts = (
+        (middle, np.diag(apart**2)),
+        (middle, np.corrcoef(scores.T) * np.outer(apart, apart)),
+        (y.mean(0), floored(np.cov(y.T, bias=True))),
+    )
+    found = []
+    for estimate in starts:
+        before = np.inf
+        while True:
+            classes = np.floor(np.log2(distances(*estimate) + 1e-9) * outliers.CLASSES)
+            reach = np.sort(classes)[int(np.ceil(n * outliers.COVERAGE)) - 1]
+            estimate = consistent(y[classes <= reach], outliers.COVERAGE)
+            size = np.linalg.slogdet(estimate[1])[1] / 2
+            if not size < before - outliers.PROGRESS:
+                break
+            before = size
+            found.append((size, estimate))
+    best = min(found, key=lambda pair: pair[0])[1]
+    return consistent(y[distances(*best) <= outliers.chi2_quantile(outliers.INSIDE, p)], outliers.INSIDE)
 
 
 def test_estimates_match_numpy(spark):
     rng = np.random.default_rng(9)
     rows, groups = [], {}
     for unit, n, bad in (("one", 400, 60), ("two", 150, 0), ("three", 90, 20)):
-        mix = rng.normal(size=(5, 5)) * 0.4
-        x = rng.normal(size=(n, 5)) @ mix + rng.normal(size=5)
+        mix = rng.normal(size=(outliers.P, outliers.P)) * 0.4
+        x = rng.normal(size=(n, outliers.P)) @ mix + rng.normal(size=outliers.P)
         x[:bad] += 6
         groups[unit] = np.rint(x * outliers.UNIT).astype(int)
         rows += [(unit, *map(int, r)) for r in groups[unit]]
@@ -128,5 +173,5 @@ def test_outliers_go_and_clean_rows_stay(spark):
 
 def test_chi_square():
     # Tabled values.
-    for p, k, value in ((0.5, 5, 4.3515), (0.95, 5, 11.0705), (0.99, 3, 11.3449), (0.9999, 5, 25.7448)):
+    for p, k, value in ((0.5, 5, 4.3515), (0.95, 5, 11.0705), (0.99, 3, 11.3449), (0.9999, 5, 25.7448), (0.999, 3, 16.2662)):
         assert abs(outliers.chi2_quantile(p, k) - value) < 1e-3
