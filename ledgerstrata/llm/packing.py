@@ -3,8 +3,8 @@
 Only the histogram of piece lengths decides the plan: at most ``size`` numbers,
 whatever the corpus. Patterns of a few lengths that together fill a sequence are
 enumerated, their repeat counts are fitted to the histogram by non-negative
-least squares and rounded down to what the histogram can pay for, round after
-round on what is left. The residual is packed best-fit decreasing, by lengths
+least squares, rounded, and taken as far as the histogram can pay for them; those
+that round to nothing are not used. So round after round on what is left. The residual is packed best-fit decreasing, by lengths
 and not by pieces. The plan is a list of runs: "pieces a..b of length n go to
 sequences s.., at offset o", whose number is bounded by the lengths and
 patterns, so it may travel to every task. Pieces are numbered inside their
@@ -116,8 +116,7 @@ def fit_patterns(counts: np.ndarray, size: int, most: int = MOST_PIECES) -> list
         for j in np.argsort(-repeats, kind="stable"):
             need = Counter(patterns[j])
             room = min(int(counts[n]) // k for n, k in need.items())
-            # Rounding down; a pattern that fits less than once still counts when it can be paid.
-            times = min(room, max(int(repeats[j]), 1))
+            times = min(room, int(np.rint(repeats[j])))
             if times:
                 taken.append((patterns[j], times))
                 for n, k in need.items():
@@ -273,8 +272,9 @@ def place_pieces(pieces: DataFrame, size: int) -> DataFrame:
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
             )
 
+    # The counts grow with the tasks, so they are shuffled however small they are.
     ranked = pieces.join(
-        before, (F.col("part") == F.col("in_part")) & (F.col("length") == F.col("of_length"))
+        before.hint("merge"), (F.col("part") == F.col("in_part")) & (F.col("length") == F.col("of_length"))
     ).select(
         "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32",
         (F.col("before") + F.col("place")).alias("rank"),

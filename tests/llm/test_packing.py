@@ -45,6 +45,32 @@ def test_plan_is_near_the_bound_and_does_not_grow():
     assert len(larger) < 60_000
 
 
+def test_patterns_are_used_as_often_as_fitted(monkeypatch):
+    solve, propose = packing.nonnegative_least_squares, packing.candidate_patterns
+    rounds, allowed = [], Counter()
+
+    def proposing(counts, *rest):
+        rounds.append((propose(counts, *rest), max(float(counts.max()), 1.0)))
+        return rounds[-1][0]
+
+    def solving(*args):
+        fitted = solve(*args)
+        patterns, scale = rounds[-1]
+        for pattern, repeats in zip(patterns, np.rint(fitted * scale).astype(int).tolist()):
+            allowed[pattern] += repeats
+        return fitted
+
+    monkeypatch.setattr(packing, "candidate_patterns", proposing)
+    monkeypatch.setattr(packing, "nonnegative_least_squares", solving)
+    rng = np.random.default_rng(4)
+    counts = np.bincount(rng.integers(20, 1500, 40_000), minlength=2049)
+    used = Counter()
+    for pattern, times in packing.fit_patterns(counts, 2048):
+        used[pattern] += times
+    assert used and all(0 < times <= allowed[pattern] for pattern, times in used.items())
+    assert any(not times for times in allowed.values())
+
+
 def test_least_squares_find_an_exact_solution():
     matrix = np.array([[2.0, 0, 1], [0, 1, 1], [1, 1, 0]])
     want = np.array([3.0, 5.0, 7.0])
