@@ -2,7 +2,8 @@
 
 Documents fall into cells of source, language and topic. The token counts of the
 cells are raked in turn to the target shares of each of the three marginals
-until all hold. A document's weight is its cell's raked tokens over its own
+until all hold or the sweeps make no more progress, which happens where the
+marginals contradict each other; ``deviation`` says what is left. A document's weight is its cell's raked tokens over its own
 tokens; its sampling probability is the weight times a constant, at most one,
 and the constant is chosen so that the expected tokens meet the budget.
 
@@ -39,8 +40,9 @@ TOPIC_WORD = 7  # bytes of a word that votes
 FLATTENING = {"source": 0.7, "lang": 0.7, "topic": 0.5}
 DIMENSIONS = ("source", "lang", "topic")
 ABSENT = "\u0000"
-SWEEPS = 60
 TOLERANCE = 1e-5
+PATIENCE = 50  # sweeps in which the worst factor has to come nearer to one by ...
+PROGRESS = 0.95  # ... this much; marginals that contradict each other make none
 MOST_PAIRS = 1_000_000
 
 
@@ -96,9 +98,12 @@ def _lookup(factors: dict[str, float], key: Column) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for pair in factors.items() for x in pair]), key)
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
     """Append ``raked`` to the cells with tokens: tokens scaled until each marginal has its share.
 
+    The sweeps end when every factor is within ``TOLERANCE`` of one, or when
+    ``PATIENCE`` of them have not brought the worst factor ``PROGRESS`` nearer.
+
     ``cells`` has the three dimensions and ``tokens``. A sweep is one pass over a
     stored table with a row per source: the source's factor follows from those of
     the languages and topics, and the languages' and topics' next factors follow
@@ -142,7 +147,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS)
             (F.col("factor") * value(F.col("part"))).alias("raked"),
         )
 
-    for _ in range(sweeps):
+    history = []
+    while True:
         sums = spread().groupBy("lang", "topic").agg(F.sum("raked").alias("raked")).collect()
         table = {(row["lang"], row["topic"]): row["raked"] for row in sums}
         worst = 0.0
@@ -156,9 +162,26 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS)
                 table[key] *= step[key[at]]
             for key, x in step.items():
                 factors[key] *= x
-        if worst < TOLERANCE:
-            break
-    return spread()
+        history.append(worst)
+        slow = len(history) > PATIENCE and worst > PROGRESS * history[-1 - PATIENCE]
+        if worst < TOLERANCE or slow:
+            return spread()
+
+
+def marginals(raked: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+    """Rows ``(dimension, value, goal, share)``: the target and the raked share of each
+    category that has tokens. ``raked`` is a stored table."""
+    whole = raked.agg(F.sum("raked")).scalar()
+    parts = []
+    for dimension in DIMENSIONS:
+        have = raked.groupBy(dimension).agg(F.sum("raked").alias("have"))
+        parts.append(
+            have.join(_goals(raked, dimension, targets[dimension]), dimension).select(
+                F.lit(dimension).alias("dimension"), F.col(dimension).alias("value"), "goal",
+                F.coalesce(F.try_divide("have", whole), F.lit(0.0)).alias("share"),
+            )
+        )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def sampling_rate(cells: DataFrame, budget: float) -> float:
@@ -187,11 +210,15 @@ def cell_weights(
     cells: DataFrame,
     targets: dict[str, DataFrame] | None,
     budget_share: float,
-    sweeps: int = SWEEPS,
 ) -> DataFrame:
-    """Weight and sampling probability per cell; ``cells`` is a stored table."""
+    """Weight and sampling probability per cell; ``cells`` is a stored table.
+
+    ``deviation`` is the same on every row: the largest absolute difference between
+    a category's target and its raked share.
+    """
     goals = {d: flattened(cells, d, FLATTENING[d]) for d in DIMENSIONS} | (targets or {})
-    raked = stored(rake(cells, goals, sweeps), "mix-raked")
+    raked = stored(rake(cells, goals), "mix-raked")
+    off = marginals(raked, goals).agg(F.max(F.abs(F.col("goal") - F.col("share")))).scalar()
     all_tokens = float(cells.agg(F.sum("tokens")).first()[0] or 0)
     rate = sampling_rate(raked, budget_share * all_tokens)
     scaled = raked.select(*DIMENSIONS, (F.col("raked") / F.col("tokens")).alias("weight"))
@@ -201,6 +228,7 @@ def cell_weights(
             *DIMENSIONS,
             F.round(weight, 9).alias("weight"),
             F.round(F.least(F.lit(1.0), weight * rate), 9).alias("probability"),
+            F.round(F.coalesce(off, F.lit(0.0)), 9).alias("deviation"),
         ),
         "mix-weights",
     )
@@ -211,11 +239,11 @@ def mix(
     targets: dict[str, DataFrame] | None = None,
     budget_share: float = 0.5,
     seed: int = 1,
-    sweeps: int = SWEEPS,
     id_col: str = "doc_id",
     **columns,
 ) -> DataFrame:
-    """One row per document: doc_id, source, lang, topic, tokens, weight, probability, sampled.
+    """One row per document: doc_id, source, lang, topic, tokens, weight, probability, sampled,
+    deviation (of the raked shares from their targets, the largest of all categories).
 
     ``targets`` maps dimensions to frames ``(value, share)``; the others are
     flattened. ``budget_share`` is the part of all tokens that a sample is
@@ -228,7 +256,7 @@ def mix(
         "mix-facts",
     )
     cells = stored(facts.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "mix-cells")
-    weights = cell_weights(cells, targets, budget_share, sweeps)
+    weights = cell_weights(cells, targets, budget_share)
     return facts.join(weights, list(DIMENSIONS)).select(
         "doc_id",
         *[F.nullif(F.col(d), F.lit(ABSENT)).alias(d) for d in DIMENSIONS],
@@ -236,6 +264,7 @@ def mix(
         "weight",
         "probability",
         (_draw(F.col("doc_id"), seed) < F.col("probability")).alias("sampled"),
+        "deviation",
     )
 
 
@@ -244,7 +273,6 @@ def sample_mix(
     targets: dict[str, DataFrame] | None = None,
     budget_share: float = 0.5,
     seed: int = 1,
-    sweeps: int = SWEEPS,
     id_col: str = "doc_id",
     **columns,
 ) -> DataFrame:
@@ -257,7 +285,7 @@ def sample_mix(
         .agg(F.sum("tokens").alias("tokens")),
         "mix-cells",
     )
-    weights = cell_weights(cells, targets, budget_share, sweeps).select(
+    weights = cell_weights(cells, targets, budget_share).select(
         *[F.col(d).alias(f"{names[d]}_cell") for d in DIMENSIONS],
         F.col("probability").alias(f"{names['tokens']}_p"),
     )

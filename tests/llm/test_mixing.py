@@ -47,6 +47,22 @@ def test_raking_meets_every_marginal(spark):
     assert sum(v for k, v in got.items() if k[0] == "a") == pytest.approx(0.4 * sum(cells.values()), rel=1e-4)
 
 
+def test_slow_and_contradicting_marginals(spark):
+    """Nearly empty cells take many sweeps; contradicting targets end with their deviation."""
+    schema = "source string, lang string, topic string, tokens long"
+    goals = {"source": {"a": 0.7, "b": 0.3}, "lang": {"en": 0.4, "de": 0.6}, "topic": {"x": 1.0}}
+    targets = {d: frame(spark, shares) for d, shares in goals.items()}
+    rows = [("a", "en", "x", 10**6), ("a", "de", "x", 1), ("b", "en", "x", 1), ("b", "de", "x", 10**6)]
+    raked = mixing.stored(mixing.rake(spark.createDataFrame(rows, schema), targets), "test-raked")
+    held = {(r.dimension, r.value): (r.goal, r.share) for r in mixing.marginals(raked, targets).collect()}
+    assert len(held) == 5
+    assert all(goal == pytest.approx(share, abs=1e-4) for goal, share in held.values())
+    # Source a has only English: 70 % of a and 40 % of English cannot both hold.
+    clash = spark.createDataFrame([("a", "en", "x", 50), ("b", "en", "x", 25), ("b", "de", "x", 25)], schema)
+    weights = mixing.cell_weights(clash, targets, 0.5).collect()
+    assert len(weights) == 3 and all(r.deviation > 0.1 for r in weights)
+
+
 def test_rate_meets_the_budget(spark):
     rows = [(100, 300.0), (50, 25.0), (10, 0.0), (40, 75.0)]
     cells = spark.createDataFrame(rows, "tokens long, raked double")
@@ -67,6 +83,7 @@ def test_given_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     rows = mixing.mix(docs).collect()
     assert len(rows) == docs.count()
+    assert all(r.deviation < 1e-4 for r in rows)
     total = sum(r.tokens for r in rows)
     expected = sum(r.probability * r.tokens for r in rows)
     assert expected == pytest.approx(0.5 * total, rel=1e-6)
