@@ -7,7 +7,8 @@ mentions a licence but has no such line is searched across its line breaks, comm
 marks aside: windows as long as a template, from where its first two terms stand, are
 compared with short and long templates, so wrapped headers and whole licence texts
 match as well. SPDX identifiers and a bare "MIT License" title name a licence outright
-(cosine 1); of an SPDX expression the first licence counts. A file without one inherits that of the nearest directory above it that holds a licence
+(cosine 1); of an SPDX expression the first licence counts, in the spelling of the
+templates, and an identifier that no template has names nothing. A file without one inherits that of the nearest directory above it that holds a licence
 file with a licence, found by joining the directories' ancestor paths.
 
 Texts are read once for the few lines that mention a licence. Ancestors are
@@ -156,8 +157,10 @@ def _terms(text: Column) -> Column:
 
 def _named(text: str) -> Column:
     """The licence that an SPDX identifier or a bare title names, or an empty text."""
-    spdx = F.regexp_replace(F.regexp_extract(text, SPDX, 1), r"(?i)(-only|-or-later|\+)$", "")
-    return F.when(spdx != "", spdx).otherwise(F.upper(F.regexp_extract(text, TITLE, 1)))
+    names = sorted({name for name, _ in (*TEMPLATES, *LONG_TEMPLATES)})
+    by_lower = F.create_map(*[F.lit(x) for name in names for x in (name.lower(), name)])
+    spdx = F.regexp_replace(F.lower(F.regexp_extract(text, SPDX, 1)), r"(-only|-or-later|\+)$", "")
+    return F.when(spdx != "", F.coalesce(F.try_element_at(by_lower, spdx), F.lit(""))).otherwise(F.upper(F.regexp_extract(text, TITLE, 1)))
 
 
 def _windows(text: str) -> Column:

@@ -27,6 +27,8 @@ FILES = [
     (7, "c/l.py", FREE.format("library", "Lesser General Public License", "2.1"), "LGPL-2.1"),
     (8, "c/s.c", "// SPDX-License-Identifier: Apache-2.0\nint x;", "Apache-2.0"),
     (9, "c/t.c", "/* SPDX-License-Identifier: GPL-3.0-or-later */", "GPL-3.0"),
+    (13, "c/u.c", "# SPDX-License-Identifier: apache-2.0 OR foo", "Apache-2.0"),
+    (14, "e/v.c", "# SPDX-License-Identifier: foo", None),
     (10, "d/LICENSE", "    GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n\n Copyright (C) ...", "GPL-3.0"),
     (11, "e/x.txt", "The MIT License is not for us, and a licence is\nlicensed under no terms at all.", None),
     (12, "e/y.py", " * Licensed under the Apache License,\n * Version 2.0 (the \"License\"); you may not use\n"
