@@ -1,13 +1,15 @@
-"""Near copies by the Jaccard similarity of five-word shingles.
+"""Near copies: SimHash and MinHash propose, the exact similarity decides.
 
 Two texts are near copies if the sets of their lower-cased five-word shingles have
-a similarity of ``SIMILARITY`` or more; near copies of near copies are one component.
-MinHash bands only propose: texts that agree in one of ``BANDS`` bands of ``ROWS``
+a Jaccard similarity of ``SIMILARITY`` or more; near copies of near copies are one
+component. Two ways propose. SimHash fingerprints within three bits, found by BK-trees
+(``simhash.py``), bring the closest copies together, whatever their sizes; copies of short
+texts differ in more bits than that. MinHash bands bring the rest: texts that agree in one of ``BANDS`` bands of ``ROWS``
 minima may be near copies. At a similarity of exactly 0.8 a pair shares no band with
 a probability of 5e-7, and less above. What decides is the exact similarity.
 
-How it scales: bands are short keys, met in one aggregation, and each text is linked
-to the least one of its band, never to all. The components of these links are cut
+How it scales: bands and fingerprint components are short keys, met in one aggregation,
+and each text is linked to the least one of its band or component, never to all. The components of these links are cut
 into blocks of bounded rows and shingles; two blocks meet in one task, which counts
 shared shingles by matrix products and returns a spanning forest of the pairs it found.
 Sets that are alike enough differ in size by a quarter at most, so a component of
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ledgerstrata.llm.common import give_back, only_rows, stored, word_blocks
 from ledgerstrata.llm.components import connected_components
-from ledgerstrata.llm.simhash import _merge
+from ledgerstrata.llm.simhash import _merge, print_roots, simhash
 
 SHINGLE = 5
 # As a fraction, so that the comparison is one of whole numbers.
@@ -121,26 +123,31 @@ def _node(hashes: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, text_key, node, shingles, bands)`` per row; equal sets have equal nodes."""
+    """``(doc_id, text_key, node, fp, shingles, bands)`` per row; equal sets have equal nodes.
+
+    ``fp`` is the SimHash fingerprint of :mod:`simhash` as a signed long.
+    """
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            sets = [shingle_set(text.as_py() or b"") for text in batch.column(2)]
+            texts = [text.as_py() or b"" for text in batch.column(2)]
+            sets = [shingle_set(text) for text in texts]
             nodes = np.fromiter(map(_node, sets), "<u8", len(sets)).view("<i8")
+            prints = np.fromiter(map(simhash, texts), "<u8", len(texts)).view("<i8")
             keys = [bands(hashes).view("<i8") for hashes in sets]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), batch.column(1), pa.array(nodes),
+                    batch.column(0), batch.column(1), pa.array(nodes), pa.array(prints),
                     pa.array([len(hashes) for hashes in sets], pa.int64()), pa.array(keys, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "text_key", "node", "shingles", "bands"],
+                names=["doc_id", "text_key", "node", "fp", "shingles", "bands"],
             )
         give_back()
 
     return _text_rows(docs, id_col, text_col).mapInArrow(
-        run, "doc_id long, text_key long, node long, shingles long, bands array<long>"
+        run, "doc_id long, text_key long, node long, fp long, shingles long, bands array<long>"
     )
 
 
@@ -195,6 +202,20 @@ def _unit_links(rows: DataFrame) -> DataFrame:
     return rows.repartition(*unit).sortWithinPartitions(*unit).mapInArrow(run, "u long, v long").distinct()
 
 
+def _print_proposals(rows: DataFrame) -> DataFrame:
+    """Links ``(u, v)`` between the nodes whose fingerprints are one SimHash component.
+
+    Texts that only differ in spaces or repeat their shingles share a node but not a
+    fingerprint, so a node may take part in several components.
+    """
+    placed = stored(
+        rows.select("node", "fp").distinct().join(print_roots(rows), "fp").select("node", F.col("root").alias("print")).distinct(),
+        "copy-prints",
+    )
+    least = placed.groupBy("print").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1")
+    return placed.join(stored(least, "copy-print-least"), "print").select(F.col("node").alias("u"), F.col("least").alias("v"))
+
+
 def near_copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, text_key, root)`` per row; rows with one root are near copies."""
     rows = stored(signatures(docs, id_col, text_col), "copy-signatures")
@@ -211,7 +232,7 @@ def near_copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "copy-bands",
     )
     proposed = keyed.join(least, "band").select(F.col("node").alias("u"), F.col("least").alias("v"))
-    rough = connected_components(proposed)
+    rough = connected_components(proposed.unionByName(_print_proposals(rows)))
     roots = stored(rough.unionByName(rough.select(F.col("root").alias("node"), "root").distinct()), "copy-roots")
     members = stored(nodes.select("node", "row", "shingles").join(roots, "node"), "copy-members")
     blocks = F.ceil(

@@ -285,6 +285,15 @@ def fingerprint_links(prints: DataFrame, radius: int = RADIUS, tree_rows: int =
     )
 
 
+def print_roots(prints: DataFrame, radius: int = RADIUS, tree_rows: int = TREE_ROWS) -> DataFrame:
+    """``(fp, low, root)`` per distinct fingerprint of ``(doc_id, fp)`` rows; those that
+    are linked have one root, and ``low`` is the least id of the fingerprint."""
+    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "print-nodes")
+    roots = connected_components(fingerprint_links(nodes, radius, tree_rows))
+    named = nodes.join(roots, F.col("fp") == F.col("node"), "left")
+    return stored(named.select("fp", "low", F.coalesce("root", "fp").alias("root")), "print-roots")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -298,14 +307,7 @@ def near_duplicates(
     ``text_key`` hashes the text as it was given; it only names the row.
     """
     prints = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "print-nodes")
-    roots = connected_components(fingerprint_links(nodes, radius, tree_rows))
-    named = stored(
-        nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
-            "fp", "low", F.coalesce("root", "fp").alias("root")
-        ),
-        "print-roots",
-    )
+    named = print_roots(prints, radius, tree_rows)
     least = stored(named.groupBy("root").agg(F.min("low").alias("component_id")), "print-least")
     members = stored(named.join(least, "root").select("fp", "component_id"), "print-components")
     return prints.join(members, "fp").select(

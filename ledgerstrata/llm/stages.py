@@ -29,7 +29,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near copies by exact similarity; op4 keeps its contract of three bits."""
+    """Near copies proposed by SimHash (and, beyond its three bits, by MinHash), decided
+    by exact similarity; op4 keeps its contract of three bits alone."""
     return drop_similar(docs)
 
 

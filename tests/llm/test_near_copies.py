@@ -86,3 +86,24 @@ def test_awkward_rows(spark):
     # 1, 2, 9 and the PROSE without an id are one; so are the empty ones and both of "one".
     assert sorted(i for i in ids if i is not None) == [1, 3, 6, 7, 8, 8, 10] and ids.count(None) == 1
     assert near_copies.drop_similar(cases.empty(spark)).collect() == []
+
+
+def test_simhash_proposes_where_no_band_does(spark, monkeypatch):
+    """A copy three bits away or less is found by its fingerprint; the exact rule decides."""
+    monkeypatch.setattr(near_copies, "bands", lambda hashes: hashes[:0])
+    rng = random.Random(7)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(3000)]
+    close = [*words[:-1], "other"]
+    far = [f"v{i}" for i in range(3000)]
+    rows = [(5, " ".join(words)), (3, " ".join(close)), (4, " ".join(far)), (6, ""), (7, None), (8, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in stages.simhash_near_dedup(spark, docs, "").collect()} == {3, 4, 6}
+
+
+def test_near_fingerprints_of_different_texts_stay(spark, monkeypatch):
+    """What SimHash proposes and the exact similarity denies is kept."""
+    monkeypatch.setattr(near_copies, "simhash", lambda text: len(text) % 4)
+    docs = spark.createDataFrame(
+        [(1, "a b c d e f"), (2, "one two three four five six"), (3, None), (4, "u v")], "doc_id long, text string"
+    )
+    assert {r.doc_id for r in near_copies.drop_similar(docs).collect()} == {1, 2, 3, 4}
