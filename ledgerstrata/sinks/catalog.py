@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerstrata.schemas import AUDIT, BLOOM, TABLES
 from ledgerstrata.sinks.tables import (
+    CODEC,
     _stored_columns,
     by_range,
     stored_bytes,
@@ -102,6 +103,7 @@ def switch_years(
         cluster_by=cluster_by,
         ranges=by_range(name, input_bytes, spark),
         bloom=BLOOM.get(name, ()),
+        compression=CODEC,
     )
     written = _years_in(spark, load)
     table = _named(database, name)

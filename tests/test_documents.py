@@ -251,6 +251,22 @@ def test_nesting_round_trip(spark):
     assert long.exceptAll(back).count() == 0
 
 
+def test_documents_are_nested_where_their_rows_are(spark):
+    """Only period rows are shuffled, and the cut-off copies come from the same pass."""
+    company = filings.companies(spark, SF)
+    docs = filings.with_broken_copies(filings.nest_documents(filings.reported_facts(spark, SF), company))
+    text = plan(docs)
+    assert not [line for line in text.splitlines() if "Exchange" in line and "concept" in line]
+    assert "Union" not in text and text.count("lineitem.parquet") == 1
+    rows = docs.collect()
+    whole = {r.cik: r.doc_json for r in rows if r.doc_json.endswith("}}}") or int(r.cik) % 7 != 3}
+    cut = {r.cik: r.doc_json for r in rows if r.doc_json != whole[r.cik]}
+    assert sorted(cut) == sorted(cik for cik in whole if int(cik) % 7 == 3)
+    assert all(text == whole[cik][: len(whole[cik]) // 2] for cik, text in cut.items())
+    ws = workspace(spark, SF)
+    assert {r.f.rsplit(".", 1)[-1] for r in ws.landed_documents().select("_metadata.file_name").toDF("f").collect()} == {"gz"}
+
+
 def test_fixture_counts(spark):
     """Counts of the mapping on the larger tables (see FIXTURES.md, section 5)."""
     ws = workspace(spark, "/root/testdata/sf0.01")

@@ -102,6 +102,25 @@ def test_deduplication_limits_rows_before_the_shuffle(spark):
     assert "Partial" in lines[shuffle + 1]
 
 
+def test_rows_in_ranges_are_shuffled_once(spark):
+    rows = [
+        raw_row(cik=str(i % 7), concept=("Assets", "Cash")[i % 2], fiscal_year=2020 + i % 3, value=float(i),
+                accession_number=f"a{i % 11}", filed_date=f"2024-01-{i % 5 + 1:02d}")
+        for i in range(200)
+    ]
+    df = raw(spark, *rows, *rows[:50], raw_row(end_date=None), raw_row(filed_date=None))
+    for build in (facts.build_fact_financials, facts.build_fact_submissions):
+        ranged = build(df, ranges=5)
+        text = plan(ranged)
+        exchanges = [line for line in text.splitlines() if "Exchange " in line]
+        assert len(exchanges) == 1 and "rangepartitioning" in exchanges[0]
+        assert "md5" not in text.split("Exchange ")[1]
+        assert sorted(map(str, build(df).collect())) == sorted(map(str, ranged.collect()))
+    # The deduplication leaves the rows in the order of the files.
+    stored = facts.build_fact_financials(df, ranges=5).sortWithinPartitions(*facts.FACT_RANGES)
+    assert plan(stored).count("Sort [") == 1
+
+
 def test_company_dimension_keeps_companies_without_facts(spark):
     companies = spark.createDataFrame(
         [("1", "0000000001", "One", "ON", "NYSE"), ("2", "0000000002", "Two", None, None)],
