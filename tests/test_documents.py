@@ -341,3 +341,36 @@ def test_broken_documents_are_counted_and_kept_out(spark, scratch):
     assert sorted(r.cik for r in read_table(spark, f"{scratch}/lake", "raw_companies").collect()) == ["7", "8"]
     rejected = spark.read.parquet(f"{scratch}/lake/bronze/rejected_documents").collect()
     assert [r.corrupt_document for r in rejected] == [text[:40]]
+
+
+def test_period_rows_cross_the_network_once_after_their_sums(spark):
+    """Full years, company attributes and long rows come from one deal by company."""
+    lines = plan(filings.reported_facts(spark, SF)).splitlines()
+    dealt = [line for line in lines if "Exchange hashpartitioning(cik" in line]
+    assert sum("REPARTITION_BY_NUM" in line for line in dealt) == 1 and len(dealt) == 2  # periods and companies
+    assert len([line for line in lines if "Exchange hashpartitioning(l_suppkey" in line]) == 1
+
+
+def test_derived_columns_are_added_after_the_shuffle(spark, scratch):
+    docs = sources.valid_documents(read(spark, scratch, document(concepts=assets(fact(), fact(fy=1800), fact(fy=None)))))
+    rows = bronze.extract_financials(docs, by_year=True)
+    above, below = plan(rows).split("REBALANCE_PARTITIONS_BY_COL")
+    assert "year_quarter" in above and "lpad" in above
+    assert "year_quarter" not in below and "lpad" not in below
+    apart = bronze.extract_financials(docs)
+    assert rows.columns == apart.columns and sorted(rows.collect(), key=str) == sorted(apart.collect(), key=str)
+    assert rows.count() == 3
+
+
+def test_packed_rows_ask_for_more_ranges(spark, scratch, monkeypatch):
+    """Packed files hold many times fewer bytes than a task has to sort."""
+    from ledgerstrata.plans import medallion
+
+    asked = []
+    monkeypatch.setattr(medallion, "stored_bytes", lambda *_: 2 << 30)
+    monkeypatch.setattr(medallion, "read_table", lambda *_: None)
+    monkeypatch.setattr(medallion, "save", lambda *_, **__: None)
+    for name in ("build_fact_financials", "build_fact_submissions"):
+        monkeypatch.setattr(medallion.facts, name, lambda _, ranges: asked.append(ranges))
+    medallion.build_facts(spark, scratch)
+    assert asked == [128, 128]
