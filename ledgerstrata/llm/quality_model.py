@@ -312,7 +312,11 @@ def fit_quality(
     x = _matrix(bytes(row["features"]) for row in sample)
     y = np.array([int(row["label"]) for row in sample])
     keep = np.array([zlib.crc32(b"keep %d" % row["doc_id"]) % 4 == 0 for row in sample], bool)
-    return shared, Network(x, y, keep)
+    network = Network(x, y, keep)
+    # The driver goes on for as long as the application; it needs none of the rows again.
+    del sample, x, y, keep
+    give_back()
+    return shared, network
 
 
 def with_score(docs: DataFrame, shared, network: Network, text_col: str, score_col: str) -> DataFrame:

@@ -86,3 +86,12 @@ def test_keeping_returns_whole_rows(spark):
     kept = model.keep_quality(docs, labels)
     assert kept.schema == docs.schema
     assert sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
+
+
+def test_training_gives_the_drivers_memory_back(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(model, "give_back", lambda: given.append(1))
+    docs = spark.createDataFrame([(i, f"word{i} and more") for i in range(4)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id long, quality int")
+    model.fit_quality(docs, labels)
+    assert given
