@@ -13,7 +13,7 @@ from ledgerstrata import sources
 from ledgerstrata.operators import bronze
 from ledgerstrata.sources.archive import MEMBER_SCHEMA
 from ledgerstrata.testbed import filings
-from ledgerstrata.testbed.workspace import workspace
+from ledgerstrata.testbed.workspace import Workspace, workspace
 
 SF = "/root/testdata/sf0.001"
 
@@ -267,6 +267,25 @@ def test_documents_are_nested_where_their_rows_are(spark):
     assert {r.f.rsplit(".", 1)[-1] for r in ws.landed_documents().select("_metadata.file_name").toDF("f").collect()} == {"gz"}
 
 
+def test_documents_are_made_without_sorting_their_long_rows(spark, scratch, monkeypatch):
+    """The landed documents hold the same facts, gathered as period rows only."""
+    company = filings.companies(spark, SF)
+    docs = filings.documents(spark, SF)
+
+    def back(texts, name):
+        texts.select("doc_json").write.text(f"{scratch}/{name}")
+        return bronze.flatten_facts(sources.valid_documents(sources.read_documents(spark, f"{scratch}/{name}")))
+
+    new, old = back(docs, "new"), back(filings.nest_documents(filings.reported_facts(spark, SF), company), "old")
+    assert new.count() == old.count() and new.exceptAll(old).count() == old.exceptAll(new).count() == 0
+    lines = plan(docs).splitlines()
+    spread = next(i for i, line in enumerate(lines) if "PaymentsToAcquirePropertyPlantAndEquipment" in line)
+    # What sorts and groups stands below the step that spreads the facts.
+    assert not [line for line in lines[:spread] if any(word in line for word in ("Sort", "Aggregate", "Exchange"))]
+    monkeypatch.setattr(filings, "reported_facts", None)
+    assert Workspace(spark, SF, f"{scratch}/lake").landed_documents().count() == docs.count() + 2
+
+
 def test_fixture_counts(spark):
     """Counts of the mapping on the larger tables (see FIXTURES.md, section 5)."""
     ws = workspace(spark, "/root/testdata/sf0.01")
