@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 from conftest import plan
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from ledgerstrata import sources
 from ledgerstrata.operators import bronze
@@ -283,7 +284,7 @@ def test_documents_are_made_without_sorting_their_long_rows(spark, scratch, monk
     # What sorts and groups stands below the step that spreads the facts.
     assert not [line for line in lines[:spread] if any(word in line for word in ("Sort", "Aggregate", "Exchange"))]
     monkeypatch.setattr(filings, "reported_facts", None)
-    assert Workspace(spark, SF, f"{scratch}/lake").landed_documents().count() == docs.count() + 2
+    assert Workspace(spark, SF, f"{scratch}/lake").landed_documents().count() == docs.count() + 1
 
 
 def test_fixture_counts(spark):
@@ -393,3 +394,40 @@ def test_packed_rows_ask_for_more_ranges(spark, scratch, monkeypatch):
         monkeypatch.setattr(medallion.facts, name, lambda _, ranges: asked.append(ranges))
     medallion.build_facts(spark, scratch)
     assert asked == [128, 128]
+
+
+def test_tasks_stay_small_where_shuffle_partitions_are_few(spark, scratch, monkeypatch):
+    """Neither landing, unchecked rows nor silver grow their tasks with the input."""
+    from ledgerstrata.operators import facts
+    from ledgerstrata.plans import medallion
+
+    monkeypatch.setattr(filings, "TASK_COMPANIES", 1)
+    text = plan(filings.documents(spark, SF))
+    assert "hashpartitioning(cik" in text and ", 10), REPARTITION_BY_NUM" in text
+
+    asked, saved = [], []
+    with monkeypatch.context() as patched:
+        patched.setattr(medallion, "stored_bytes", lambda *_: 32 << 20)
+        patched.setattr(medallion, "read_table", lambda *_: None)
+        patched.setattr(medallion, "save", lambda *_, **__: None)
+        for name in ("build_fact_financials", "build_fact_submissions"):
+            patched.setattr(medallion.facts, name, lambda _, ranges: asked.append(ranges))
+        medallion.build_facts(spark, scratch)
+    # Two ranges of eight tasks, more than the eight shuffle partitions of the session.
+    assert asked == [2, 2]
+    rows = spark.range(10).select(F.col("id").alias("cik"))
+    assert f", {2 * facts.TASKS_PER_RANGE})" in plan(facts.in_ranges(rows, 2, ["cik"]))
+
+    advisory, files = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(advisory), spark.conf.get(files)
+    save = medallion.save
+
+    def noting(*args, **options):
+        saved.append((spark.conf.get(advisory), spark.conf.get(files)))
+        save(*args, **options)
+
+    monkeypatch.setattr(medallion, "save", noting)
+    medallion.build_bronze(spark, read(spark, scratch, document(concepts=assets(fact()))), f"{scratch}/lake")
+    assert {int(x) for pair in saved for x in pair} == {medallion.TASK_BYTES}
+    assert (spark.conf.get(advisory), spark.conf.get(files)) == before
+    assert [medallion._bytes(x) for x in ("67108864b", "64MB", "16k", "1m", "5")] == [64 << 20, 64 << 20, 16 << 10, 1 << 20, 5]
