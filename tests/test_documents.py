@@ -431,3 +431,48 @@ def test_tasks_stay_small_where_shuffle_partitions_are_few(spark, scratch, monke
     assert {int(x) for pair in saved for x in pair} == {medallion.TASK_BYTES}
     assert (spark.conf.get(advisory), spark.conf.get(files)) == before
     assert [medallion._bytes(x) for x in ("67108864b", "64MB", "16k", "1m", "5")] == [64 << 20, 64 << 20, 16 << 10, 1 << 20, 5]
+
+
+def test_unchecked_rows_are_stored_without_a_shuffle(spark, scratch, monkeypatch):
+    """Tasks unnest row groups of the landed documents and keep what they made."""
+    import pyarrow.parquet as pq
+
+    from ledgerstrata.plans import medallion
+    from ledgerstrata.sources import read_table
+
+    plans, save = {}, medallion.save
+
+    def noting(rows, root, name, **options):
+        plans[name] = plan(rows)
+        save(rows, root, name, **options)
+
+    monkeypatch.setattr(medallion, "save", noting)
+    monkeypatch.setattr(medallion, "GROUP_BYTES", 1 << 10)
+    reported = [fact(fy=year, end=f"{year}-12-31") for year in (2020, 2021, 2022, 1800)]
+    Path(f"{scratch}/docs.json").write_text("\n".join(json.dumps(document(i, assets(*reported))) for i in range(500)))
+    docs = sources.read_documents(spark, f"{scratch}/docs.json")
+    counts = medallion.build_bronze(spark, docs, f"{scratch}/lake")
+    assert "Exchange" not in plans["raw_financials"] and "REBALANCE" not in plans["raw_financials"]
+    assert counts == {"total_count": 2000, "passed_count": 1500}
+    stored = read_table(spark, f"{scratch}/lake", "raw_financials")
+    by_year = {r.fiscal_year: r["count"] for r in stored.groupBy("fiscal_year").count().collect()}
+    assert by_year == {2020: 500, 2021: 500, 2022: 500, 1800: 500}
+    groups = [pq.read_metadata(f).num_row_groups for f in Path(f"{scratch}/lake/landing/documents").glob("*.parquet")]
+    assert max(groups) > 1
+
+
+def test_layers_drop_their_shuffles_when_they_are_stored(spark, scratch, monkeypatch):
+    from ledgerstrata.plans import medallion
+
+    before, seen, save = spark.conf.get(medallion.CLEANUP), [], medallion.save
+
+    def noting(rows, root, name, **options):
+        seen.append(spark.conf.get(medallion.CLEANUP))
+        save(rows, root, name, **options)
+
+    monkeypatch.setattr(medallion, "save", noting)
+    docs = read(spark, scratch, document(concepts=assets(fact())))
+    medallion.build_bronze(spark, docs, f"{scratch}/lake")
+    medallion.build_silver(spark, f"{scratch}/lake")
+    assert len(seen) == 7 and set(seen) == {"true"}
+    assert spark.conf.get(medallion.CLEANUP) == before == "false"
